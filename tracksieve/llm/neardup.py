@@ -5,9 +5,10 @@ one from each collection. 2 * M * HALF = 36 minhashes serve 81 tables that would
 similarity of 0.8 a pair shares no table with a probability of about 2e-4 (and less above).
 
 Texts with equal shingle sets are one class from the start; only classes are hashed. Candidates are verified on full
-sets. A bucket is searched by hubs, round by round: every member of another component is compared with the hub; a hub
-is then compared with all and leaves; a bucket ends when one component is left. So each candidate pair of different
-components is verified, with work that follows members times hubs instead of all pairs, and no cap on either.
+sets, in three passes over the buckets: all members against the smallest id; against a few members of the bucket's
+largest component; and whoever is still outside of it against all members, in a grid of blocks where exact bounds
+from sizes and bitmaps rule most pairs out before their sets are read. Pairs within one component are never looked
+at; all others are verified or ruled out by a bound, with no cap on buckets or partners.
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lowered; a text with fewer words than a shingle is one shingle; null or empty
 texts have none, are linked with nothing and kept. Repeated rows of one id count as one document (the result has every
@@ -26,7 +27,8 @@ from .textvec import U64, batches_of, distinct_sets, mix, shingles, word_hashes
 
 M, HALF = 9, 2
 PERCENT = 80
-HUBS = 12  # per bucket and round after the first
+HUBS = 4  # of a bucket's largest component, in the second pass
+BITS, BLOCK = 1024, 1024  # of a bitmap; members of a block
 
 
 def _family(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,15 +68,19 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles): the sorted distinct shingle hashes."""
+    """(doc_id, n, bits, shingles): the sorted distinct shingle hashes, their number, and a parity bitmap of BITS bits."""
 
     def run(batches):
         for batch in batches_of(batches, 2 << 20):
             values, bounds = distinct_sets(*shingles(*word_hashes(batch.column(1)), size))
+            n = np.diff(bounds)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
-            yield pa.record_batch([batch.column(0), lists], ["doc_id", "shingles"])
+            at = np.repeat(np.arange(len(n)), n) * BITS + (values >> U64(64 - BITS.bit_length() + 1)).astype(np.int64)
+            odd = (np.bincount(at, minlength=len(n) * BITS) & 1).astype(bool).reshape(len(n), BITS)
+            bits = pa.array([row.tobytes() for row in np.packbits(odd, axis=1)], pa.binary())
+            yield pa.record_batch([batch.column(0), pa.array(n), bits, lists], ["doc_id", "n", "bits", "shingles"])
 
-    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, shingles array<long>")
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, n long, bits binary, shingles array<long>")
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
@@ -92,39 +98,75 @@ def verified(pairs: DataFrame, full: DataFrame, percent: int = PERCENT) -> DataF
     return pairs.join(right, "b").join(left, "a").where(near).where(both * 100 >= (F.col("na") + F.col("nb") - both) * percent).select("a", "b")
 
 
-def links(classes: DataFrame, docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame | None:
-    """Verified links (a, b) that connect the classes as all links do. classes: (doc_id, half), docs: (doc_id, text)."""
+def _labelled(members: DataFrame, at: DataFrame) -> DataFrame:
+    """members (key, doc_id) of buckets with more than one component, with component and its size."""
+    sizes = at.groupBy("component").agg(F.count("*").alias("size"))
+    named = at.join(sizes, "component").select(F.col("node").alias("doc_id"), "component", "size")
+    out = members.select("key", "doc_id").join(named, "doc_id", "left")
+    out = out.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"), F.coalesce("size", F.lit(1)).alias("size"))
+    live = out.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return written(out.join(live, "key"), "members")
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct()
+
+
+def _possible(batch: pa.Table, percent: int) -> pa.Table:
+    """Pairs of one block of hubs and one of members, of different components, that sizes and bitmaps don't rule out:
+    odd bits of two bitmaps are at most the sets' difference, and a link bounds that by the sizes."""
+    hub = batch.column("hub").to_numpy()
+    doc, component, n = (batch.column(c).to_numpy() for c in ("doc_id", "component", "n"))
+    bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(len(doc), -1)
+    one, two, found = np.flatnonzero(hub), np.flatnonzero(~hub), []
+    for lo in range(0, len(one), 32):
+        own = one[lo : lo + 32]
+        apart = np.bitwise_count(bits[own][:, None] ^ bits[two][None]).sum(2, dtype=np.int64)
+        x, y = n[own][:, None], n[two][None]
+        good = (apart * (100 + percent) <= (x + y) * (100 - percent)) & (np.minimum(x, y) * 100 >= np.maximum(x, y) * percent)
+        i, j = np.nonzero(good & (component[own][:, None] != component[two][None]))
+        found.append((doc[own[i]], doc[two[j]]))
+    a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+    return pa.table({"hub": pa.array(a, pa.int64()), "doc_id": pa.array(b, pa.int64())})
+
+
+def exhausted(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of different components that share a bucket and that bitmaps don't rule out. One of each pair is
+    outside its bucket's largest component: those are the hubs, held against all members in a grid of blocks."""
+    stats = members.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("c"))
+    rows = members.join(stats, "key").withColumn("outer", F.col("component") != F.col("top.component"))
+    outer = rows.where("outer").groupBy("key").agg(F.count("*").alias("o"))
+    rows = rows.join(outer, "key").join(full.select("doc_id", "n", "bits"), "doc_id")
+    down, across = F.ceil(F.col("o") / BLOCK).cast("int"), F.ceil(F.col("c") / BLOCK).cast("int")
+    spread = lambda k: F.pmod(F.xxhash64("doc_id"), k).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), k - 1))
+    cols = ("key", "doc_id", "component", "n", "bits")
+    hubs = rows.where("outer").select(*cols, F.lit(True).alias("hub"), spread(down).alias("i"), every(across).alias("j"))
+    rest = rows.select(*cols, F.lit(False).alias("hub"), spread(across).alias("j"), every(down).alias("i"))
+    both = hubs.unionByName(rest)
+    return _pairs(both.groupBy("key", "i", "j").applyInArrow(lambda t: _possible(t, percent), "hub long, doc_id long"))
+
+
+def grouped(classes: DataFrame, docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
+    """(node, component) as all links between classes in one bucket give it. classes: (doc_id, half)."""
     keys = written(table_keys(classes), "keys")
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
+    shared = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("hi")).where("hub < hi").select("key", "hub")
     members = written(keys.join(shared, "key"), "members")
     inside = members.select("doc_id").distinct()
-    full = written(sets(docs.join(inside, "doc_id", "left_semi"), size).select("doc_id", F.size("shingles").alias("n"), "shingles"), "sets")
-    found, turn = None, 0
-    while True:
-        if turn == 0:
-            hubs = members.groupBy("key").agg(F.min("doc_id").alias("hub"))
-        else:  # members of the smallest components first: those are few, and the rest is nearly one component
-            rank = lambda s: F.min(F.struct("size", F.xxhash64("doc_id", F.lit(s)).alias("h"), "doc_id"))["doc_id"]
-            hubs = members.groupBy("key").agg(F.array_distinct(F.array(*[rank(s) for s in range(HUBS)])).alias("hubs")).select("key", F.explode("hubs").alias("hub"))
-        hubs = written(hubs, "hubs")
-        pairs = members.join(hubs, "key").where("hub != doc_id")
-        if turn:
-            own = members.select("key", F.col("doc_id").alias("hub"), F.col("component").alias("hub_component"))
-            pairs = members.join(hubs.join(own, ["key", "hub"]), "key").where("component != hub_component")
-        pairs = pairs.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct()
-        new = verified(pairs, full, percent)
-        found = written(new if found is None else found.unionByName(new), "links")
-        at = components(found)
-        spent = hubs.select("key", F.col("hub").alias("doc_id"))
-        left = members.select("key", "doc_id").join(spent, ["key", "doc_id"], "left_anti").join(at.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-        left = left.withColumn("component", F.coalesce("component", "doc_id"))
-        live = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        left = left.join(live, "key")
-        counts = at.groupBy("component").agg(F.count("*").alias("size"))
-        members = written(left.join(counts, "component", "left").select("key", "doc_id", "component", F.coalesce("size", F.lit(1)).alias("size")), "members")
-        if not members.limit(1).count():
-            return found
-        turn += 1
+    full = written(sets(docs.join(inside, "doc_id", "left_semi"), size), "sets")
+    # First the smallest id of each bucket as its hub, then members of its largest component, then what is left.
+    found = written(verified(_pairs(members.where("hub != doc_id")), full, percent), "links")
+    at = components(found)
+    members = _labelled(members, at)
+    pick = lambda s: F.max(F.struct("size", F.xxhash64("component", "doc_id", F.lit(s)).alias("h"), "doc_id", "component"))
+    hubs = members.groupBy("key").agg(F.array_distinct(F.array(*[pick(s) for s in range(HUBS)])).alias("hubs")).select("key", F.explode("hubs").alias("h"))
+    hubs = hubs.select("key", F.col("h.doc_id").alias("hub"), F.col("h.component").alias("hub_component"))
+    new = verified(_pairs(members.join(hubs, "key").where("component != hub_component")), full, percent)
+    found = written(at.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), "links")
+    at = components(found)
+    members = _labelled(members, at)
+    new = verified(exhausted(members, full, percent), full, percent)
+    return components(written(at.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), "links"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -133,8 +175,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     some = signed.where("n_shingles > 0")
     classes = some.groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("class"))
     reps = written(some.join(classes, ["set_hi", "set_lo"]).where("doc_id = class").dropDuplicates(["doc_id"]).select("doc_id", "half"), "classes")
-    found = links(reps, docs, size, percent)
-    at = components(found).select(F.col("node").alias("class"), "component")
+    at = grouped(reps, docs, size, percent).select(F.col("node").alias("class"), "component")
     out = signed.join(classes, ["set_hi", "set_lo"], "left").join(at, "class", "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "class", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), (own == F.col("doc_id")).alias("kept"))
