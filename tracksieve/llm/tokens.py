@@ -250,7 +250,7 @@ class Merges:
 
     def counts(self, raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Tokens of each pre-token raw[start:start + length], all of positive length."""
-        if len(self.content) > 1 << 20:
+        if len(self.content) > 450_000:
             self.reset()  # bounded memory; what is needed is compiled again
             self.fits.clear()
         order = np.argsort(-length, kind="stable")
