@@ -4,9 +4,8 @@ A line is its words (white space between, A-Z lowered). Lines of at least MIN_WO
 edit bound of one inserted, deleted or substituted word, are duplicates; the earliest, by document and line number,
 stays. Shorter lines always stay.
 
-Equal lines are merged first. For the rest, deletion variants of the first PREFIX words go out as hashed keys: lines
-within the bound share one, so lines that share none are done. The others emit all variants of one deletion over the
-whole line. Two lines within the bound have either equal variants at an equal place (substitution) or one equals the
+Equal lines are merged first. Lines that share no half with another of about their length can't be within the bound
+(one edit leaves a half as it is) and are done. The others emit all variants of one deletion as hashed keys. Two lines within the bound have either equal variants at an equal place (substitution) or one equals the
 other's variant (insertion): the earliest is a grouped minimum per variant, so no pairs are formed however many lines
 share it. The distance is verified by a second, independent hash of what remains, its place and the lengths.
 
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, table, written
 from .textvec import SPACE_SEPARATORS, U64, batches_of, buffers, lut, mix, segment_hash, word_spans
 
-MIN_WORDS, PREFIX = 8, 5  # a line that counts has more words than the prefix
+MIN_WORDS = 8
 _P1, _P2 = U64(0x9E3779B97F4A7C15), U64(0xD1B54A32D192ED03)
 
 
@@ -74,8 +73,23 @@ def variants(words: np.ndarray, first: np.ndarray, size: np.ndarray, base: np.ui
     return cut, whole, place, line, run
 
 
+def half_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Lines x 4 keys: for the line's length and one more as tag, half its words from the front, and from the back.
+    One edit leaves one of the halves as it is, and lengths differ by one at most: lines within the bound share a key."""
+    _, begin, _, _, _, total = _sums(words, first, size, _P1)
+    back = _powers(int(size.max(initial=1)) + 1, U64(pow(int(_P1), -1, 1 << 64)))
+    out = np.empty((len(size), 4), U64)
+    for k in (0, 1):
+        tag = size + k
+        half = (tag - 1) // 2
+        out[:, 2 * k] = mix((total[begin[:-1] + half] - total[begin[:-1]]) ^ mix(tag.astype(U64)))
+        tail = (total[begin[1:]] - total[begin[1:] - half]) * back[size - half]
+        out[:, 2 * k + 1] = mix(tail ^ mix(tag.astype(U64) + _P2))
+    return out
+
+
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, hash, check, keys): lines that may be dropped; keys are their prefix variants."""
+    """(doc_id, line, hash, check, keys): lines that may be dropped, with their half keys."""
 
     def run(batches):
         for batch in batches_of(batches, 2 << 20):
@@ -88,8 +102,8 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             first, full = bounds[:-1][long], size[long]
             _, whole, *_ = variants(words, first, full, _P1)
             _, check, *_ = variants(words, first, full, _P2)
-            cut, *_ = variants(words, first, np.minimum(full, PREFIX), _P1)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(cut.view(np.int64)), PREFIX).cast(pa.list_(pa.int64()))
+            keys = half_keys(words, first, full).reshape(-1)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64)), 4).cast(pa.list_(pa.int64()))
             yield pa.record_batch([ids.take(pa.array(doc[long])), pa.array(number[long].astype(np.int32)), pa.array(whole.view(np.int64)), pa.array(check.view(np.int64)), lists], ["doc_id", "line", "hash", "check", "keys"])
 
     return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, line int, hash long, check long, keys array<long>")
@@ -122,9 +136,10 @@ def dropped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = written(occurrences(docs, min_words), "lines")
     order = F.struct("doc_id", "line")
     distinct = written(lines.groupBy("hash", "check").agg(F.min(order).alias("first"), F.first("keys").alias("keys")), "distinct")
-    keys = distinct.select("hash", "check", "first", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = keys.groupBy("key").agg(F.min("first").alias("lo"), F.max("first").alias("hi")).where("lo != hi").select("key")
-    hot = keys.join(shared, "key", "left_semi").select("first").distinct()
+    keys = distinct.select("hash", "check", F.explode(F.array_distinct("keys")).alias("key"))
+    # Two different lines of one key differ in hash, or else in check.
+    shared = keys.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b"), F.min("check").alias("c"), F.max("check").alias("d")).where("a != b or c != d").select("key")
+    hot = keys.join(shared, "key", "left_semi").select("hash", "check").distinct().join(distinct, ["hash", "check"]).select("first")
     wanted = hot.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list("first.line").alias("lines"))
     near = written(neighbourhoods(docs, wanted), "variants")
     at = near.groupBy("v", "check", "place").agg(F.min(order).alias("least"), F.count("*").alias("c"))
