@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -20,7 +21,7 @@ def con():
 
 
 def rows(df):
-    shown = lambda v: "null" if pd.isna(v) else f"{float(v):.5f}" if isinstance(v, (float, int)) and not isinstance(v, bool) else str(v)
+    shown = lambda v: "null" if pd.isna(v) else f"{float(v):.5f}" if isinstance(v, (float, int, np.integer, np.floating)) and not isinstance(v, bool) else str(v)
     return sorted(tuple(shown(v) for v in r) for r in df[sorted(df.columns)].itertuples(index=False, name=None))
 
 
