@@ -24,6 +24,7 @@ from .common import arrow_map, table, written
 from .textvec import SPACE_SEPARATORS, U64, batches_of, buffers, lut, mix, segment_hash, word_spans
 
 MIN_WORDS = 8
+MAX_BROADCAST = 4_000_000  # numbers of wanted lines and documents, 8 bytes each with overhead: under 100 MB
 _P1, _P2 = U64(0x9E3779B97F4A7C15), U64(0xD1B54A32D192ED03)
 
 
@@ -109,6 +110,43 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, line int, hash long, check long, keys array<long>")
 
 
+def wanted_lines(distinct: DataFrame) -> DataFrame:
+    """(doc_id, lines): of distinct lines (first, keys), those that may share a half key with another, by first place.
+
+    One shuffle by ranges of (key, place), so that a hot key is split over partitions; in each, a row is taken if its
+    neighbour has its key. The neighbours of a partition's first and last row are elsewhere: those two are always
+    taken, which only adds lines to look at."""
+
+    def run(batches):
+        held = None  # the last row so far, and whether it is taken
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, doc, line = (c.to_numpy() for c in batch.columns)
+            take = np.zeros(len(key), bool)
+            same = key[1:] == key[:-1]
+            take[1:] |= same
+            take[:-1] |= same
+            if held is None:
+                take[0] = True
+            else:
+                last, taken = held
+                met = last[0] == key[0]
+                take[0] |= met
+                if taken or met:
+                    yield pa.record_batch([pa.array([last[1]], pa.int64()), pa.array([last[2]], pa.int32())], ["doc_id", "line"])
+            held = (key[-1], doc[-1], line[-1]), take[-1]
+            take[-1] = False
+            if take.any():
+                yield pa.record_batch([pa.array(doc[take]), pa.array(line[take])], ["doc_id", "line"])
+        if held is not None:
+            yield pa.record_batch([pa.array([held[0][1]], pa.int64()), pa.array([held[0][2]], pa.int32())], ["doc_id", "line"])
+
+    keys = distinct.where("first.doc_id is not null").select(F.explode(F.array_distinct("keys")).alias("key"), "first.doc_id", "first.line")
+    ranged = keys.repartitionByRange("key", "doc_id", "line").sortWithinPartitions("key")
+    return arrow_map(ranged, run, "doc_id long, line int").groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+
+
 def neighbourhoods(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(v, check, place, doc_id, line): all deletion variants of the wanted (doc_id, lines) and, at place -1, themselves."""
 
@@ -127,7 +165,9 @@ def neighbourhoods(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 cols = [np.concatenate((cut, whole)).view(np.int64), np.concatenate((cut2, whole2)).view(np.int64), np.concatenate((place, np.full(len(part), -1))).astype(np.int32)]
                 yield pa.record_batch([*map(pa.array, cols), batch.column(0).take(pa.array(doc[part][own])), pa.array(number[part][own].astype(np.int32))], ["v", "check", "place", "doc_id", "line"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    size = wanted.agg(F.sum(F.size("lines") + 4)).first()[0] or 0
+    side = F.broadcast(wanted) if size <= MAX_BROADCAST else wanted
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, "doc_id")
     return arrow_map(rows.select("doc_id", "text", "lines"), run, "v long, check long, place int, doc_id long, line int")
 
 
@@ -136,11 +176,7 @@ def dropped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = written(occurrences(docs, min_words), "lines")
     order = F.struct("doc_id", "line")
     distinct = written(lines.groupBy("hash", "check").agg(F.min(order).alias("first"), F.first("keys").alias("keys")), "distinct")
-    keys = distinct.select("hash", "check", F.explode(F.array_distinct("keys")).alias("key"))
-    # Two different lines of one key differ in hash, or else in check.
-    shared = keys.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b"), F.min("check").alias("c"), F.max("check").alias("d")).where("a != b or c != d").select("key")
-    hot = keys.join(shared, "key", "left_semi").select("hash", "check").distinct().join(distinct, ["hash", "check"]).select("first")
-    wanted = hot.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list("first.line").alias("lines"))
+    wanted = written(wanted_lines(distinct), "wanted")
     near = written(neighbourhoods(docs, wanted), "variants")
     at = near.groupBy("v", "check", "place").agg(F.min(order).alias("least"), F.count("*").alias("c"))
     every = at.groupBy("v", "check").agg(
