@@ -243,6 +243,32 @@ def test_lines_odd_texts_and_text_out(spark, odd, nothing):
     assert lines.dedup(odd).count() == len(ODD) and lines.dedup(nothing).count() == 0
 
 
+def test_lines_hot_half_over_partitions_and_both_joins(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = ["same front half of lines " + " ".join(rng.choice("abcdef") for _ in range(rng.randint(4, 6))) for _ in range(300)]
+    texts += [" ".join(rng.choice("pqrs") for _ in range(9)) + " same back half of all those lines" for _ in range(100)]
+
+    def within(a, b):
+        k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        return a[k + 1 :] == b[k + 1 :] or a[k + 1 :] == b[k:] or a[k:] == b[k + 1 :]
+
+    split = [t.split() for t in texts]
+    want = {i for i, a in enumerate(split) if any(within(a, b) for b in split[:i])}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert 0 < len(want) < len(texts)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr("tracksieve.llm.common.BATCH_ROWS", 3)
+    try:
+        for bound in (lines.MAX_BROADCAST, -1):
+            monkeypatch.setattr(lines, "MAX_BROADCAST", bound)
+            assert {r["doc_id"] for r in lines.dropped(docs).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_chat_reset_order_and_escapes(spark):
     log = [(1, 1, 0, "start", "user", None), (1, 1, 1, "delta", None, "ab"), (1, 1, 2, "edit", None, "x<|y\\"), (1, 2, 5, "start", "assist\nant", None), (1, 2, 6, "delta", None, "q"), (1, 2, 7, "regenerate", None, None), (1, 2, 9, "delta", None, "2"), (1, 2, 8, "delta", None, "1"), (1, 3, 3, "delta", None, "never started")]
     df = spark.createDataFrame(log, "conv_id long, message_id long, seq long, kind string, role string, text string")

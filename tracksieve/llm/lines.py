@@ -68,10 +68,7 @@ def variants(words: np.ndarray, first: np.ndarray, size: np.ndarray, base: np.ui
     length = size.astype(U64)
     cut = mix((before + after) ^ mix(length[line] - U64(1)))
     whole = mix((total[begin[1:]] - total[begin[:-1]]) ^ mix(length))
-    # Deleting any of a run of equal words gives the same: the run's first place stands for all.
-    run = np.ones(len(place), bool)
-    run[1:] = (own[1:] != own[:-1]) | (place[1:] == 0)
-    return cut, whole, place, line, run
+    return cut, whole, place, line
 
 
 def half_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -158,9 +155,8 @@ def neighbourhoods(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             chosen = np.array([k for k, (d, i) in enumerate(zip(doc.tolist(), number.tolist())) if i in wants[d] and size[k] >= MIN_WORDS], np.int64)
             for at in range(0, len(chosen), 2000):
                 part = chosen[at : at + 2000]
-                cut, whole, place, line, run_ = variants(words, bounds[:-1][part], size[part], _P1)
+                cut, whole, place, line = variants(words, bounds[:-1][part], size[part], _P1)
                 cut2, whole2, *_ = variants(words, bounds[:-1][part], size[part], _P2)
-                cut, cut2, place, line = (x[run_] for x in (cut, cut2, place, line))
                 own = np.concatenate((line, np.arange(len(part))))
                 cols = [np.concatenate((cut, whole)).view(np.int64), np.concatenate((cut2, whole2)).view(np.int64), np.concatenate((place, np.full(len(part), -1))).astype(np.int32)]
                 yield pa.record_batch([*map(pa.array, cols), batch.column(0).take(pa.array(doc[part][own])), pa.array(number[part][own].astype(np.int32))], ["v", "check", "place", "doc_id", "line"])
