@@ -1,14 +1,15 @@
 """Operator 3, MinHash near-duplicates with tensored banding.
 
 Two collections of M half-keys, each made of HALF minhashes, give M * M tables: a table's key is a pair of half-keys,
-one from each collection. 2 * M * HALF = 36 minhashes serve 81 tables that would need 324 one by one. At a
+one from each collection. 2 * M * HALF = 78 minhashes serve 169 tables that would need 1,014 one by one. At a
 similarity of 0.8 a pair shares no table with a probability of about 2e-4 (and less above).
 
-Texts with equal shingle sets are one class from the start; only classes are hashed. Candidates are verified on full
-sets, in three passes over the buckets: all members against the smallest id; against a few members of the bucket's
-largest component; and whoever is still outside of it against all members, in a grid of blocks where exact bounds
-from sizes and bitmaps rule most pairs out before their sets are read. Pairs within one component are never looked
-at; all others are verified or ruled out by a bound, with no cap on buckets or partners.
+Texts with equal shingle sets are one class from the start; only classes are hashed. A table's key can be shared only
+where both its half-keys are, so that keys are formed from shared half-keys alone; of buckets with the same members
+one is kept. Candidates are verified on full sets, in three passes over the buckets: all members against the smallest
+id; against a few members of the bucket's largest component; and whoever is still outside of it against all members,
+in a grid of blocks. Exact bounds from sizes and bitmaps rule most pairs out before their sets are read. Pairs within
+one component are never looked at; all others are verified or ruled out by a bound, with no cap on buckets or partners.
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lowered; a text with fewer words than a shingle is one shingle; null or empty
 texts have none, are linked with nothing and kept. Repeated rows of one id count as one document (the result has every
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map, components, table, written
 from .textvec import U64, batches_of, distinct_sets, mix, shingles, word_hashes
 
-M, HALF = 9, 2
+M, HALF = 13, 3
 PERCENT = 80
 HUBS = 4  # of a bucket's largest component, in the second pass
 BITS, BLOCK = 1024, 1024  # of a bitmap; members of a block
@@ -77,25 +78,46 @@ def sets(docs: DataFrame, size: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
             at = np.repeat(np.arange(len(n)), n) * BITS + (values >> U64(64 - BITS.bit_length() + 1)).astype(np.int64)
             odd = (np.bincount(at, minlength=len(n) * BITS) & 1).astype(bool).reshape(len(n), BITS)
-            bits = pa.array([row.tobytes() for row in np.packbits(odd, axis=1)], pa.binary())
+            packed = pa.array(np.packbits(odd, axis=1).reshape(-1).view(np.int64))
+            bits = pa.FixedSizeListArray.from_arrays(packed, BITS // 64).cast(pa.list_(pa.int64()))
             yield pa.record_batch([batch.column(0), pa.array(n), bits, lists], ["doc_id", "n", "bits", "shingles"])
 
-    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, n long, bits binary, shingles array<long>")
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, n long, bits array<long>, shingles array<long>")
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
-    """(key, doc_id): the M * M keys of each class."""
-    pairs = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(M - 1)), lambda i: F.transform(F.sequence(F.lit(M), F.lit(2 * M - 1)), lambda j: F.xxhash64(i, j, F.get("half", i), F.get("half", j)))))
-    return classes.select("doc_id", F.explode(pairs).alias("key"))
+    """(key, doc_id): the keys of each class (doc_id, half) whose two half-keys both occur in other classes too."""
+    halves = written(classes.select("doc_id", F.posexplode("half").alias("slot", "h")), "halves")
+    shared = halves.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h")
+    held = halves.join(shared, "h").groupBy("doc_id").agg(F.collect_list(F.struct("slot", "h")).alias("own"))  # 2M at most
+    side = lambda test: F.filter("own", lambda x: test(x["slot"]))
+    held = held.select("doc_id", side(lambda k: k < M).alias("one"), side(lambda k: k >= M).alias("two"))
+    pairs = F.flatten(F.transform("one", lambda x: F.transform("two", lambda y: F.xxhash64(x["slot"], y["slot"], x["h"], y["h"]))))
+    return held.select("doc_id", F.explode(pairs).alias("key"))
+
+
+def buckets(keys: DataFrame) -> DataFrame:
+    """(key, doc_id, hub): buckets of two members or more, one of those with equal members; hub is the smallest."""
+    sums = [F.bit_xor(F.xxhash64("doc_id", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    all_of = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("hi"), F.count("*").alias("c"), *sums).where("hub < hi")
+    return keys.join(all_of.groupBy("hub", "hi", "c", "x1", "x2").agg(F.min("key").alias("key")).select("key", "hub"), "key")
+
+
+def plausible(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) pairs that sizes and bitmaps don't rule out: the bound of `_possible`."""
+    left = full.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    right = full.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+    apart = F.aggregate(F.zip_with("xa", "xb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    return pairs.join(right, "b").join(left, "a").where(near).where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b")
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The (a, b) pairs whose full sets (doc_id, n, shingles) have 100 * intersection >= percent * union."""
     left = full.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     right = full.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent  # else the sizes alone rule it out
     both = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(right, "b").join(left, "a").where(near).where(both * 100 >= (F.col("na") + F.col("nb") - both) * percent).select("a", "b")
+    return pairs.join(right, "b").join(left, "a").where(both * 100 >= (F.col("na") + F.col("nb") - both) * percent).select("a", "b")
 
 
 def _labelled(members: DataFrame, at: DataFrame) -> DataFrame:
@@ -112,12 +134,9 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")).distinct()
 
 
-def _possible(batch: pa.Table, percent: int) -> pa.Table:
+def _possible(hub, doc, component, n, bits, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one block of hubs and one of members, of different components, that sizes and bitmaps don't rule out:
     odd bits of two bitmaps are at most the sets' difference, and a link bounds that by the sizes."""
-    hub = batch.column("hub").to_numpy()
-    doc, component, n = (batch.column(c).to_numpy() for c in ("doc_id", "component", "n"))
-    bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(len(doc), -1)
     one, two, found = np.flatnonzero(hub), np.flatnonzero(~hub), []
     for lo in range(0, len(one), 32):
         own = one[lo : lo + 32]
@@ -126,8 +145,34 @@ def _possible(batch: pa.Table, percent: int) -> pa.Table:
         good = (apart * (100 + percent) <= (x + y) * (100 - percent)) & (np.minimum(x, y) * 100 >= np.maximum(x, y) * percent)
         i, j = np.nonzero(good & (component[own][:, None] != component[two][None]))
         found.append((doc[own[i]], doc[two[j]]))
-    a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-    return pa.table({"hub": pa.array(a, pa.int64()), "doc_id": pa.array(b, pa.int64())})
+    return tuple(np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+
+
+def _blocks(percent: int):
+    """Rows sorted by (key, i, j) to (hub, doc_id) pairs: many small blocks to a batch, the last one carried over."""
+
+    def pairs(rows: pa.Table, keep_last: bool) -> tuple[pa.RecordBatch, int]:
+        ids = [rows.column(c).to_numpy() for c in ("key", "i", "j")]
+        edge = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in ids])) + 1
+        cuts = [0, *edge.tolist(), *([] if keep_last else [rows.num_rows])]
+        hub, doc, component, n = (rows.column(c).to_numpy() for c in ("hub", "doc_id", "component", "n"))
+        bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(U64).reshape(len(doc), -1)
+        found = [_possible(hub[x:y], doc[x:y], component[x:y], n[x:y], bits[x:y], percent) for x, y in zip(cuts, cuts[1:])]
+        a, b = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["hub", "doc_id"]), cuts[-1]
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                held = pa.concat_tables([*([held] if held else []), pa.Table.from_batches([batch])])
+                out, done = pairs(held, True)
+                held = held.slice(done)
+                yield out
+        if held and held.num_rows:
+            yield pairs(held, False)[0]
+
+    return run
 
 
 def exhausted(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -144,28 +189,33 @@ def exhausted(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     hubs = rows.where("outer").select(*cols, F.lit(True).alias("hub"), spread(down).alias("i"), every(across).alias("j"))
     rest = rows.select(*cols, F.lit(False).alias("hub"), spread(across).alias("j"), every(down).alias("i"))
     both = hubs.unionByName(rest)
-    return _pairs(both.groupBy("key", "i", "j").applyInArrow(lambda t: _possible(t, percent), "hub long, doc_id long"))
+    dealt = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return _pairs(arrow_map(dealt, _blocks(percent), "hub long, doc_id long"))
 
 
 def grouped(classes: DataFrame, docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
     """(node, component) as all links between classes in one bucket give it. classes: (doc_id, half)."""
-    keys = written(table_keys(classes), "keys")
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("hi")).where("hub < hi").select("key", "hub")
-    members = written(keys.join(shared, "key"), "members")
+    members = written(buckets(written(table_keys(classes), "keys")), "members")
     inside = members.select("doc_id").distinct()
     full = written(sets(docs.join(inside, "doc_id", "left_semi"), size), "sets")
     # First the smallest id of each bucket as its hub, then members of its largest component, then what is left.
-    found = written(verified(_pairs(members.where("hub != doc_id")), full, percent), "links")
-    at = components(found)
+    new = verified(written(plausible(_pairs(members.where("hub != doc_id")), full, percent), "pairs"), full, percent)
+    at = components(written(new, "links"))
     members = _labelled(members, at)
     pick = lambda s: F.max(F.struct("size", F.xxhash64("component", "doc_id", F.lit(s)).alias("h"), "doc_id", "component"))
     hubs = members.groupBy("key").agg(F.array_distinct(F.array(*[pick(s) for s in range(HUBS)])).alias("hubs")).select("key", F.explode("hubs").alias("h"))
     hubs = hubs.select("key", F.col("h.doc_id").alias("hub"), F.col("h.component").alias("hub_component"))
-    new = verified(_pairs(members.join(hubs, "key").where("component != hub_component")), full, percent)
-    found = written(at.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), "links")
-    at = components(found)
+    found = plausible(_pairs(members.join(hubs, "key").where("component != hub_component")), full, percent)
+    at = _joined(at, verified(written(found, "pairs"), full, percent))
     members = _labelled(members, at)
-    new = verified(exhausted(members, full, percent), full, percent)
+    return _joined(at, verified(written(exhausted(members, full, percent), "pairs"), full, percent))
+
+
+def _joined(at: DataFrame, new: DataFrame) -> DataFrame:
+    """The components `at` (node, component) with further links (a, b)."""
+    new = written(new, "links")
+    if new.isEmpty():
+        return at
     return components(written(at.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), "links"))
 
 
