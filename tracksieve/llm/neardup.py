@@ -30,6 +30,7 @@ M, HALF = 13, 3
 PERCENT = 80
 HUBS = 4  # of a bucket's largest component, in the second pass
 BITS, BLOCK = 1024, 1024  # of a bitmap; members of a block
+MAX_BROADCAST = 4_000_000  # ids of documents in buckets, 8 bytes each with overhead: under 100 MB
 
 
 def _family(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,8 +197,9 @@ def exhausted(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 def grouped(classes: DataFrame, docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
     """(node, component) as all links between classes in one bucket give it. classes: (doc_id, half)."""
     members = written(buckets(written(table_keys(classes), "keys")), "members")
-    inside = members.select("doc_id").distinct()
-    full = written(sets(docs.join(inside, "doc_id", "left_semi"), size), "sets")
+    inside = written(members.select("doc_id").distinct(), "inside")
+    side = F.broadcast(inside) if inside.count() <= MAX_BROADCAST else inside  # else the join shuffles the texts once
+    full = written(sets(docs.join(side, "doc_id", "left_semi"), size), "sets")
     # First the smallest id of each bucket as its hub, then members of its largest component, then what is left.
     new = verified(written(plausible(_pairs(members.where("hub != doc_id")), full, percent), "pairs"), full, percent)
     at = components(written(new, "links"))
