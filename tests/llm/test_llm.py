@@ -243,6 +243,14 @@ def test_lines_odd_texts_and_text_out(spark, odd, nothing):
     assert lines.dedup(odd).count() == len(ODD) and lines.dedup(nothing).count() == 0
 
 
+def test_lines_short_repeats_and_near_match_below_eight_words(spark):
+    rows = [(1, "Released under the MIT License.\n-\n\n  "), (2, "released under  the mit license.\nown\n-\n\n  "), (3, "released under the bsd license.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in lines.dedup(docs).collect()} == {1: rows[0][1], 2: "own\n\n  ", 3: rows[2][1]}
+    assert lines.dropped(docs).count() == 0  # the SQL's contract
+    assert {(r["doc_id"], r["line"], r["near"]) for r in lines.dropped(docs, min_words=5).collect()} == {(2, 0, False), (3, 0, True)}
+
+
 def test_lines_hot_half_over_partitions_and_both_joins(spark, monkeypatch):
     rng = random.Random(7)
     texts = ["same front half of lines " + " ".join(rng.choice("abcdef") for _ in range(rng.randint(4, 6))) for _ in range(300)]

@@ -1,8 +1,9 @@
 """Operator 7, line deduplication by a deletion-neighbourhood join.
 
-A line is its words (white space between, A-Z lowered). Lines of at least MIN_WORDS words that are equal, or within an
+A line is its words (white space between, A-Z lowered). Lines of at least `min_words` words that are equal, or within an
 edit bound of one inserted, deleted or substituted word, are duplicates; the earliest, by document and line number,
-stays. Shorter lines always stay.
+stays. Shorter ones of at least `min_exact` words are duplicates if they are equal. `dedup` drops repeats of every line that has a
+word; op7 keeps to its SQL, in which lines under MIN_WORDS words always stay.
 
 Equal lines are merged first. Lines that share no half with another of about their length can't be within the bound
 (one edit leaves a half as it is) and are done. The others emit all variants of one deletion as hashed keys. Two lines within the bound have either equal variants at an equal place (substitution) or one equals the
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, table, written
 from .textvec import SPACE_SEPARATORS, U64, batches_of, buffers, lut, mix, segment_hash, word_spans
 
-MIN_WORDS = 8
+MIN_WORDS = 8  # of near copies, and in op7's SQL of equal ones too
+MIN_EXACT = 1  # of equal lines in `dedup`
 MAX_BROADCAST = 4_000_000  # numbers of wanted lines and documents, 8 bytes each with overhead: under 100 MB
 _P1, _P2 = U64(0x9E3779B97F4A7C15), U64(0xD1B54A32D192ED03)
 
@@ -86,22 +88,23 @@ def half_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndar
     return out
 
 
-def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, hash, check, keys): lines that may be dropped, with their half keys."""
+def occurrences(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, line, hash, check, keys): lines that may be dropped; half keys only for those of min_words words."""
 
     def run(batches):
         for batch in batches_of(batches, 2 << 20):
             words, bounds, doc, number = _line_words(batch.column(1))
             size = np.diff(bounds)
             ids = batch.column(0)
-            long = np.flatnonzero(size >= min_words)
+            long = np.flatnonzero(size >= max(1, min(min_words, min_exact)))
             if not len(long):
                 continue
             first, full = bounds[:-1][long], size[long]
             _, whole, *_ = variants(words, first, full, _P1)
             _, check, *_ = variants(words, first, full, _P2)
-            keys = half_keys(words, first, full).reshape(-1)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64)), 4).cast(pa.list_(pa.int64()))
+            near = full >= min_words
+            keys = half_keys(words, first[near], full[near]).reshape(-1)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(4 * near))).astype(np.int32)), pa.array(keys.view(np.int64)))
             yield pa.record_batch([ids.take(pa.array(doc[long])), pa.array(number[long].astype(np.int32)), pa.array(whole.view(np.int64)), pa.array(check.view(np.int64)), lists], ["doc_id", "line", "hash", "check", "keys"])
 
     return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, line int, hash long, check long, keys array<long>")
@@ -144,7 +147,7 @@ def wanted_lines(distinct: DataFrame) -> DataFrame:
     return arrow_map(ranged, run, "doc_id long, line int").groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
-def neighbourhoods(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def neighbourhoods(docs: DataFrame, wanted: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(v, check, place, doc_id, line): all deletion variants of the wanted (doc_id, lines) and, at place -1, themselves."""
 
     def run(batches):
@@ -152,7 +155,7 @@ def neighbourhoods(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             words, bounds, doc, number = _line_words(batch.column(1))
             size = np.diff(bounds)
             wants = [set(x) for x in batch.column(2).to_pylist()]
-            chosen = np.array([k for k, (d, i) in enumerate(zip(doc.tolist(), number.tolist())) if i in wants[d] and size[k] >= MIN_WORDS], np.int64)
+            chosen = np.array([k for k, (d, i) in enumerate(zip(doc.tolist(), number.tolist())) if i in wants[d] and size[k] >= min_words], np.int64)
             for at in range(0, len(chosen), 2000):
                 part = chosen[at : at + 2000]
                 cut, whole, place, line = variants(words, bounds[:-1][part], size[part], _P1)
@@ -167,13 +170,13 @@ def neighbourhoods(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return arrow_map(rows.select("doc_id", "text", "lines"), run, "v long, check long, place int, doc_id long, line int")
 
 
-def dropped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, near): the lines to drop; near is false for copies of an equal line."""
-    lines = written(occurrences(docs, min_words), "lines")
+def dropped(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int | None = None) -> DataFrame:
+    """(doc_id, line, near): the lines to drop; near is false for copies of an equal line. min_exact is min_words if not given."""
+    lines = written(occurrences(docs, min_words, min_words if min_exact is None else min_exact), "lines")
     order = F.struct("doc_id", "line")
     distinct = written(lines.groupBy("hash", "check").agg(F.min(order).alias("first"), F.first("keys").alias("keys")), "distinct")
     wanted = written(wanted_lines(distinct), "wanted")
-    near = written(neighbourhoods(docs, wanted), "variants")
+    near = written(neighbourhoods(docs, wanted, min_words), "variants")
     at = near.groupBy("v", "check", "place").agg(F.min(order).alias("least"), F.count("*").alias("c"))
     every = at.groupBy("v", "check").agg(
         F.min(F.when(F.col("place") >= 0, F.col("least"))).alias("longer"), F.min(F.when(F.col("place") < 0, F.col("least"))).alias("itself"), F.sum("c").alias("c")
@@ -191,9 +194,9 @@ def summary(drops: DataFrame) -> DataFrame:
     return drops.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"), F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"))
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MIN_EXACT) -> DataFrame:
     """docs with `text` less its dropped lines, and `n_lines_dropped`; other columns as they are."""
-    drops = written(summary(dropped(docs.select("doc_id", "text"), min_words)).select(F.col("doc_id").alias("_d"), F.col("lines").alias("_lines")), "drops")
+    drops = written(summary(dropped(docs.select("doc_id", "text"), min_words, min_exact)).select(F.col("doc_id").alias("_d"), F.col("lines").alias("_lines")), "drops")
     out = docs.join(drops, docs["doc_id"] == drops["_d"], "left")
     gone = F.transform("_lines", lambda i: i.cast("int"))
     parts = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(gone, i))
