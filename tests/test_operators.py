@@ -7,6 +7,7 @@ from tracksieve.config import CONFIG, DOCUMENTED
 from tracksieve.functions import scores, vectors
 from tracksieve.operators import funnel, graph, monitor
 from tracksieve.operators.tracker import Tracker
+from tracksieve.plans import catalogue
 
 
 def test_gate_bounds(spark):
@@ -81,3 +82,11 @@ def test_tracker_rules():
     for _ in range(11):
         t.update([])
     assert t.update([box]) == [2]
+
+
+def test_replay_buffer_has_the_set_size(spark):
+    pool = spark.range(20).select((F.col("id") * 7 % 20).alias("seq"))
+    assert [r["seq"] for r in monitor.replay_buffer(pool, 6, 4).collect()] == [5, 4, 3, 2]
+    n = catalogue.pool(spark, "/root/testdata/sf0.01").count()
+    assert 1000 < n < CONFIG.replay_buffer_size and catalogue.QUERIES["q_replay_buffer_config"](spark, "/root/testdata/sf0.01").count() == n
+    assert catalogue.QUERIES["q_replay_buffer_config"](spark, "/root/testdata/sf0.1").count() == CONFIG.replay_buffer_size

@@ -51,3 +51,8 @@ def rolling_alerts(snapshots: DataFrame, growth: float, drop: float) -> DataFram
     return out.withColumn("hitl_alert", F.coalesce((F.col("seq") >= 8) & (F.col("before") > 0) & (up >= growth), F.lit(False))).withColumn(
         "drop_alert", F.coalesce((F.col("baseline") > 0) & (F.col("baseline") - F.col("recent") > drop), F.lit(False))
     )
+
+
+def replay_buffer(pool: DataFrame, appended: int, kept: int) -> DataFrame:
+    """The pool's first `appended` rows by seq go in; the buffer keeps its last `kept`."""
+    return pool.orderBy("seq").limit(appended).orderBy(F.desc("seq")).limit(kept)

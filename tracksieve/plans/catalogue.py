@@ -401,8 +401,14 @@ def q_label_distribution(spark, d):
 
 @query(f"WITH {POOL}, a AS (SELECT * FROM p ORDER BY seq LIMIT 3000) SELECT * FROM a ORDER BY seq DESC LIMIT 1000")
 def q_replay_buffer(spark, d):
-    """The pool's first N go in; the buffer keeps its last N."""
-    return pool(spark, d).orderBy("seq").limit(3000).orderBy(F.desc("seq")).limit(1000)
+    """The pool's first rows go in; the buffer keeps its last. Sizes are those of the SQL, smaller than the setting."""
+    return monitor.replay_buffer(pool(spark, d), 3000, 1000)
+
+
+@query(f"WITH {POOL}, a AS (SELECT * FROM p ORDER BY seq LIMIT {CONFIG.replay_buffer_size}) SELECT * FROM a ORDER BY seq DESC LIMIT {CONFIG.replay_buffer_size}")
+def q_replay_buffer_config(spark, d):
+    """The replay buffer at the size that is set, as in the reference: the pool's first N go in, the buffer keeps its last N."""
+    return monitor.replay_buffer(pool(spark, d), CONFIG.replay_buffer_size, CONFIG.replay_buffer_size)
 
 
 # State.
