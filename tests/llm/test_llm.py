@@ -251,6 +251,35 @@ def test_lines_short_repeats_and_near_match_below_eight_words(spark):
     assert {(r["doc_id"], r["line"], r["near"]) for r in lines.dropped(docs, min_words=5).collect()} == {(2, 0, False), (3, 0, True)}
 
 
+def test_lines_two_edits_against_brute_force(spark, monkeypatch):
+    rng = random.Random(3)
+
+    def edited(words, times):
+        words = list(words)
+        for _ in range(times):
+            k, kind = rng.randrange(len(words)), rng.randrange(3)
+            words[k : k + (kind > 0)] = [] if kind == 2 else [rng.choice("abc")]
+        return words
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    base = [[rng.choice("abc") for _ in range(rng.randint(14, 26))] for _ in range(12)]
+    split = [edited(rng.choice(base), rng.randint(0, 4)) for _ in range(120)]
+    bound = lambda a, b: 2 if min(len(a), len(b)) >= lines.TWO_EDITS else 1
+    want = {i for i, a in enumerate(split) if any(distance(a, b) <= bound(a, b) for b in split[:i])}
+    assert 0 < len(want) < len(split)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(split)], "doc_id long, text string")
+    for hot in (lines.HOT, 4, 1):
+        monkeypatch.setattr(lines, "HOT", hot)
+        assert {r["doc_id"] for r in lines.dropped(docs, edits=2).collect()} == want
+
+
 def test_lines_hot_half_over_partitions_and_both_joins(spark, monkeypatch):
     rng = random.Random(7)
     texts = ["same front half of lines " + " ".join(rng.choice("abcdef") for _ in range(rng.randint(4, 6))) for _ in range(300)]

@@ -5,6 +5,10 @@ edit bound of one inserted, deleted or substituted word, are duplicates; the ear
 stays. Shorter ones of at least `min_exact` words are duplicates if they are equal. `dedup` drops repeats of every line that has a
 word; op7 keeps to its SQL, in which lines under MIN_WORDS words always stay.
 
+With `edits=2`, as in `dedup`, two lines of at least TWO_EDITS words are also within the bound at two such edits. Those that share a
+third at about its place are candidates. Where at most HOT lines share it, their pairs are compared; the lines of larger
+groups emit all variants of two deletions, and the earliest is again a grouped minimum.
+
 Equal lines are merged first. Lines that share no half with another of about their length can't be within the bound
 (one edit leaves a half as it is) and are done. The others emit all variants of one deletion as hashed keys. Two lines within the bound have either equal variants at an equal place (substitution) or one equals the
 other's variant (insertion): the earliest is a grouped minimum per variant, so no pairs are formed however many lines
@@ -26,6 +30,8 @@ from .textvec import SPACE_SEPARATORS, U64, batches_of, buffers, lut, mix, segme
 
 MIN_WORDS = 8  # of near copies, and in op7's SQL of equal ones too
 MIN_EXACT = 1  # of equal lines in `dedup`
+TWO_EDITS = 16  # words from which `dedup` allows two edits
+HOT = 32  # lines of a shared third whose pairs are compared
 MAX_BROADCAST = 4_000_000  # numbers of wanted lines and documents, 8 bytes each with overhead: under 100 MB
 _P1, _P2 = U64(0x9E3779B97F4A7C15), U64(0xD1B54A32D192ED03)
 
@@ -73,6 +79,14 @@ def variants(words: np.ndarray, first: np.ndarray, size: np.ndarray, base: np.ui
     return cut, whole, place, line
 
 
+def _lists(keys: np.ndarray, has: np.ndarray) -> pa.ListArray:
+    """A list of distinct keys for each line that `has` them, an empty one for the others."""
+    own = [np.unique(k) for k in keys.view(np.int64)]
+    sizes = np.zeros(len(has) + 1, np.int64)
+    sizes[1:][has] = [len(k) for k in own]
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)))
+
+
 def half_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Lines x 4 keys: for the line's length and one more as tag, half its words from the front, and from the back.
     One edit leaves one of the halves as it is, and lengths differ by one at most: lines within the bound share a key."""
@@ -88,8 +102,27 @@ def half_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndar
     return out
 
 
-def occurrences(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, hash, check, keys): lines that may be dropped; half keys only for those of min_words words."""
+def third_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Lines x 12 keys, with repeats: a third from the front, from the back, and one from the middle shifted by -1, 0 or 1.
+    Two edits that leave neither outer third as it is are one in each, so the middle one is whole. The length of a third
+    is that of the longer line, even and so mostly the same for lengths that differ by two."""
+    _, begin, _, _, _, total = _sums(words, first, size, _P1)
+    back = _powers(int(size.max(initial=1)) + 1, U64(pow(int(_P1), -1, 1 << 64)))
+    out = np.empty((len(size), 12), U64)
+    at = 0
+    for more, shifts in ((0, (-1, 0, 1)), (1, (-1, 0)), (2, (-1,))):
+        third = (size + more) // 6 * 2
+        tag = mix(third.astype(U64))
+        for kind, start in [(0, third * 0), (1, size - third), *((2, third + k) for k in shifts)]:
+            run = (total[begin[:-1] + start + third] - total[begin[:-1] + start]) * back[start]
+            out[:, at] = mix(run ^ mix(tag + U64(kind)))
+            at += 1
+    return out
+
+
+def occurrences(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MIN_WORDS, edits: int = 1) -> DataFrame:
+    """(doc_id, line, hash, check, keys, thirds): lines that may be dropped; half keys only for those of min_words words,
+    keys of thirds only if two edits are allowed."""
 
     def run(batches):
         for batch in batches_of(batches, 2 << 20):
@@ -103,11 +136,12 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MI
             _, whole, *_ = variants(words, first, full, _P1)
             _, check, *_ = variants(words, first, full, _P2)
             near = full >= min_words
-            keys = half_keys(words, first[near], full[near]).reshape(-1)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(4 * near))).astype(np.int32)), pa.array(keys.view(np.int64)))
-            yield pa.record_batch([ids.take(pa.array(doc[long])), pa.array(number[long].astype(np.int32)), pa.array(whole.view(np.int64)), pa.array(check.view(np.int64)), lists], ["doc_id", "line", "hash", "check", "keys"])
+            lists = _lists(half_keys(words, first[near], full[near]), near)
+            two = near & (full >= TWO_EDITS) & (edits > 1)
+            thirds = _lists(third_keys(words, first[two], full[two]), two)
+            yield pa.record_batch([ids.take(pa.array(doc[long])), pa.array(number[long].astype(np.int32)), pa.array(whole.view(np.int64)), pa.array(check.view(np.int64)), lists, thirds], ["doc_id", "line", "hash", "check", "keys", "thirds"])
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, line int, hash long, check long, keys array<long>")
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, line int, hash long, check long, keys array<long>, thirds array<long>")
 
 
 def wanted_lines(distinct: DataFrame) -> DataFrame:
@@ -147,6 +181,12 @@ def wanted_lines(distinct: DataFrame) -> DataFrame:
     return arrow_map(ranged, run, "doc_id long, line int").groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
+def _with_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    size = wanted.agg(F.sum(F.size("lines") + 4)).first()[0] or 0
+    side = F.broadcast(wanted) if size <= MAX_BROADCAST else wanted
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, "doc_id").select("doc_id", "text", "lines")
+
+
 def neighbourhoods(docs: DataFrame, wanted: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(v, check, place, doc_id, line): all deletion variants of the wanted (doc_id, lines) and, at place -1, themselves."""
 
@@ -164,17 +204,119 @@ def neighbourhoods(docs: DataFrame, wanted: DataFrame, min_words: int = MIN_WORD
                 cols = [np.concatenate((cut, whole)).view(np.int64), np.concatenate((cut2, whole2)).view(np.int64), np.concatenate((place, np.full(len(part), -1))).astype(np.int32)]
                 yield pa.record_batch([*map(pa.array, cols), batch.column(0).take(pa.array(doc[part][own])), pa.array(number[part][own].astype(np.int32))], ["v", "check", "place", "doc_id", "line"])
 
-    size = wanted.agg(F.sum(F.size("lines") + 4)).first()[0] or 0
-    side = F.broadcast(wanted) if size <= MAX_BROADCAST else wanted
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, "doc_id")
-    return arrow_map(rows.select("doc_id", "text", "lines"), run, "v long, check long, place int, doc_id long, line int")
+    return arrow_map(_with_lines(docs, wanted), run, "v long, check long, place int, doc_id long, line int")
+
+
+def within(a: list, b: list, edits: int) -> bool:
+    """Whether at most so many words inserted, deleted or substituted turn a into b."""
+    n = min(len(a), len(b))
+    i = next((k for k in range(n) if a[k] != b[k]), n)
+    j = next((k for k in range(n - i) if a[-1 - k] != b[-1 - k]), n - i)
+    a, b = a[i : len(a) - j], b[i : len(b) - j]
+    if not a or not b or abs(len(a) - len(b)) > edits:
+        return max(len(a), len(b)) <= edits
+    return edits > 0 and (within(a[1:], b[1:], edits - 1) or within(a[1:], b, edits - 1) or within(a, b[1:], edits - 1))
+
+
+def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, line, words, keys): word hashes and keys of thirds of the wanted (doc_id, lines)."""
+
+    def run(batches):
+        for batch in batches_of(batches, 1 << 20):
+            words, bounds, doc, number = _line_words(batch.column(1))
+            size = np.diff(bounds)
+            wants = [set(x) for x in batch.column(2).to_pylist()]
+            chosen = np.array([k for k, (d, i) in enumerate(zip(doc.tolist(), number.tolist())) if i in wants[d] and size[k] >= TWO_EDITS], np.int64)
+            if len(chosen):
+                keys = _lists(third_keys(words, bounds[:-1][chosen], size[chosen]), np.ones(len(chosen), bool))
+                own = [words[bounds[k] : bounds[k + 1]].view(np.int64) for k in chosen]
+                yield pa.record_batch([batch.column(0).take(pa.array(doc[chosen])), pa.array(number[chosen].astype(np.int32)), pa.array(own, pa.list_(pa.int64())), keys], ["doc_id", "line", "words", "keys"])
+
+    return arrow_map(_with_lines(docs, wanted), run, "doc_id long, line int, words array<long>, keys array<long>")
+
+
+def _two_deletions(lines: DataFrame) -> DataFrame:
+    """(v, check, g, h, doc_id, line): each line less none, one and two words; g <= h are the gaps in what remains, or -1."""
+
+    def hashes(words, base, i, j):
+        n = len(words)
+        inverse = U64(pow(int(base), -1, 1 << 64))
+        total = np.concatenate(([U64(0)], np.cumsum(words * _powers(n, base))))
+        return mix((total[i] + (total[j] - total[i + 1]) * inverse + (total[n] - total[j + 1]) * inverse * inverse) ^ mix(np.array([n - 2], U64)))
+
+    def rows(batch, k, columns):
+        one = [pa.array(np.concatenate(c).view(np.int64)) if isinstance(c, tuple) else pa.array(c.view(np.int64) if c.dtype == U64 else c.astype(np.int32)) for c in columns]
+        same = pa.array(np.full(len(one[0]), k))
+        return pa.record_batch([*one, batch.column(0).take(same), batch.column(1).take(same)], ["v", "check", "g", "h", "doc_id", "line"])
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words = np.array(batch.column(2)[k].as_py(), np.int64).view(U64)
+                n = len(words)
+                cut, whole, place, _ = variants(words, np.array([0]), np.array([n]), _P1)
+                cut2, whole2, *_ = variants(words, np.array([0]), np.array([n]), _P2)
+                none = np.full(n + 1, -1)
+                yield rows(batch, k, [(cut, whole), (cut2, whole2), np.append(place, -1), none])
+                step = max(1, (1 << 18) // n)
+                for at in range(0, n - 1, step):
+                    i = np.repeat(np.arange(at, min(at + step, n - 1)), n - 1 - np.arange(at, min(at + step, n - 1)))
+                    j = np.concatenate([np.arange(x + 1, n) for x in range(at, min(at + step, n - 1))])
+                    yield rows(batch, k, [hashes(words, _P1, i, j), hashes(words, _P2, i, j), i, j - 1])
+
+    return arrow_map(lines.select("doc_id", "line", "words"), run, "v long, check long, g int, h int, doc_id long, line int")
+
+
+def _close_in_hot(lines: DataFrame) -> DataFrame:
+    """(first): the lines with an earlier one within two edits, without pairs. The words deleted from two lines with one
+    remainder cost, gap by gap, the larger of their numbers: at two edits, one line's gaps with two deletions hold the
+    other's, or both have one deletion or none."""
+    order = F.struct("doc_id", "line")
+    every = written(_two_deletions(lines), "two_deletions")
+    least = lambda where: F.min(F.when(where, order))
+    none, one, two = F.col("g") < 0, (F.col("g") >= 0) & (F.col("h") < 0), F.col("h") >= 0
+    at = every.groupBy("v", "check").agg(least(none).alias("m0"), least(one).alias("m1"), least(two).alias("m2"), F.count("*").alias("c")).where("c > 1").drop("c")
+    live = written(every.join(at, ["v", "check"]), "two_live")
+    gaps = live.where("g >= 0").withColumn("gap", F.explode(F.array_distinct(F.when(two, F.array("g", "h")).otherwise(F.array("g")))))
+    gaps = gaps.groupBy("v", "check", "gap").agg(least(one).alias("s1"), least(two).alias("s2"))
+    both = live.where(two).groupBy("v", "check", "g", "h").agg(F.min(order).alias("d"))
+    whole = live.where(none).where(F.least("m0", "m1", "m2") < order)
+    single = live.where(one).join(gaps.withColumnRenamed("gap", "g"), ["v", "check", "g"]).where(F.least("m0", "m1", "s2") < order)
+    double = live.where(two).join(both, ["v", "check", "g", "h"]).join(gaps.select("v", "check", F.col("gap").alias("g"), F.col("s1").alias("a")), ["v", "check", "g"])
+    double = double.join(gaps.select("v", "check", F.col("gap").alias("h"), F.col("s1").alias("b")), ["v", "check", "h"]).where(F.least("m0", "a", "b", "d") < order)
+    return whole.select(order.alias("first")).unionByName(single.select(order.alias("first"))).unionByName(double.select(order.alias("first")))
+
+
+def close_by_two(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(first): the distinct lines of TWO_EDITS words or more with an earlier such line within two edits."""
+    wanted = written(wanted_lines(distinct.select("first", F.col("thirds").alias("keys"))), "wanted_two")
+    held = written(_word_lists(docs, wanted), "word_lists")
+    keyed = held.select(F.explode("keys").alias("key"), F.struct("doc_id", "line").alias("at"), F.size("words").alias("n"))
+    counts = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    keyed = written(keyed.join(counts, "key"), "thirds")
+    hot = keyed.where(F.col("c") > HOT).select("at.doc_id", "at.line").distinct()
+    cold = keyed.where(F.col("c") <= HOT)
+    other = cold.select("key", F.col("at").alias("least"), F.col("n").alias("m"))
+    pairs = cold.join(other, "key").where((F.col("least") < F.col("at")) & (F.abs(F.col("n") - F.col("m")) <= 2)).select("at", "least").distinct()
+    words = lambda at, name: held.select(F.struct("doc_id", "line").alias(at), F.col("words").alias(name))
+    pairs = pairs.join(words("at", "a"), "at").join(words("least", "b"), "least").select("at.doc_id", "at.line", "a", "b")
+
+    def run(batches):
+        for batch in batches:
+            take = [within(a.as_py(), b.as_py(), 2) for a, b in zip(batch.column(2), batch.column(3))]
+            yield pa.record_batch([c.filter(pa.array(take, pa.bool_())) for c in batch.columns[:2]], ["doc_id", "line"])
+
+    close = arrow_map(pairs, run, "doc_id long, line int").select(F.struct("doc_id", "line").alias("first"))
+    return close.unionByName(_close_in_hot(held.join(hot, ["doc_id", "line"])))
 
 
-def dropped(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int | None = None) -> DataFrame:
+def dropped(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int | None = None, edits: int = 1) -> DataFrame:
     """(doc_id, line, near): the lines to drop; near is false for copies of an equal line. min_exact is min_words if not given."""
-    lines = written(occurrences(docs, min_words, min_words if min_exact is None else min_exact), "lines")
+    if edits not in (1, 2):
+        raise ValueError("edits must be 1 or 2")
+    lines = written(occurrences(docs, min_words, min_words if min_exact is None else min_exact, edits), "lines")
     order = F.struct("doc_id", "line")
-    distinct = written(lines.groupBy("hash", "check").agg(F.min(order).alias("first"), F.first("keys").alias("keys")), "distinct")
+    distinct = written(lines.groupBy("hash", "check").agg(F.min(order).alias("first"), F.first("keys").alias("keys"), F.first("thirds").alias("thirds")), "distinct")
     wanted = written(wanted_lines(distinct), "wanted")
     near = written(neighbourhoods(docs, wanted, min_words), "variants")
     at = near.groupBy("v", "check", "place").agg(F.min(order).alias("least"), F.count("*").alias("c"))
@@ -183,7 +325,10 @@ def dropped(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int | None =
     ).where("c > 1")
     rows = near.join(every.drop("c"), ["v", "check"]).join(at.drop("c"), ["v", "check", "place"])
     earliest = F.when(F.col("place") < 0, F.col("longer")).otherwise(F.least("least", "itself"))
-    close = rows.where(earliest < order).select(order.alias("first")).distinct().withColumn("near", F.lit(True))
+    close = rows.where(earliest < order).select(order.alias("first"))
+    if edits > 1:
+        close = close.unionByName(written(close_by_two(docs, distinct), "close_by_two"))
+    close = close.distinct().withColumn("near", F.lit(True))
     marked = distinct.select("hash", "check", "first").join(close, "first", "left")
     out = lines.select("doc_id", "line", "hash", "check").join(marked, ["hash", "check"])
     out = out.where(F.col("near") | (order != F.col("first")))
@@ -194,9 +339,9 @@ def summary(drops: DataFrame) -> DataFrame:
     return drops.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"), F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"))
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MIN_EXACT) -> DataFrame:
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MIN_EXACT, edits: int = 2) -> DataFrame:
     """docs with `text` less its dropped lines, and `n_lines_dropped`; other columns as they are."""
-    drops = written(summary(dropped(docs.select("doc_id", "text"), min_words, min_exact)).select(F.col("doc_id").alias("_d"), F.col("lines").alias("_lines")), "drops")
+    drops = written(summary(dropped(docs.select("doc_id", "text"), min_words, min_exact, edits)).select(F.col("doc_id").alias("_d"), F.col("lines").alias("_lines")), "drops")
     out = docs.join(drops, docs["doc_id"] == drops["_d"], "left")
     gone = F.transform("_lines", lambda i: i.cast("int"))
     parts = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(gone, i))
