@@ -44,10 +44,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of at most 2048 tokens."""
+    """The pieces of all documents with their token ids and their places in sequences of at most 2048 tokens."""
     import public_tokenizers
 
-    return packing.pack(packing.pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(packing.pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), with_ids=True))
 
 
 STAGES = [

@@ -1,7 +1,10 @@
 """The pipeline's stages: what goes, what stays, and the columns in between."""
 
+import public_tokenizers
+import pyarrow as pa
+
 import corpus_pipeline
-from tracksieve.llm import neardup, toxicity
+from tracksieve.llm import neardup, packing, toxicity
 from tracksieve.llm.common import table, written
 
 SF = "/root/testdata/sf0.001"
@@ -30,3 +33,18 @@ def test_null_ids_and_empty_tables_pass(spark):
         assert stage(spark, odd, SF).count() == 1, name
     assert corpus_pipeline.drop_repeated_lines(spark, docs.limit(0), SF).count() == 0
     assert toxicity.score(docs.limit(0), None).count() == 0
+
+
+def test_packed_sequences_hold_their_tokens(spark):
+    rows = [(i, f"Text {i} " + "of words " * (i * 150)) for i in range(8)]
+    packed = corpus_pipeline.pack_sequences(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    read = packing.words_of(public_tokenizers.path("word_bpe_49k.json"))
+    ids, bounds = read.encode(pa.array([t for _, t in rows]))
+    sequences, documents = {}, {}
+    for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == len(sequences.setdefault(r["sequence_id"], []))
+        sequences[r["sequence_id"]] += r["ids"]
+        documents.setdefault(r["doc_id"], {})[r["start"]] = sequences[r["sequence_id"]][r["offset"] :]
+    assert max(map(len, sequences.values())) <= 2048 < sum(map(len, sequences.values()))
+    for (doc, _), a, b in zip(rows, bounds, bounds[1:]):
+        assert [x for _, own in sorted(documents[doc].items()) for x in own] == [*ids[a:b].tolist(), 0]
