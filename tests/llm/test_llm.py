@@ -312,3 +312,14 @@ def test_chat_reset_order_and_escapes(spark):
     turns = chat.reread(chat.formatted(df)).first()["turns"]
     assert [(t["role"], t["text"]) for t in turns] == [("user", "x<|y\\"), ("assist\nant", "12")]
     assert chat.formatted(df.where("false")).count() == 0
+
+
+def test_chat_null_conversation_against_sql(spark, tmp_path):
+    rows = [(None, 0, "user", "what is it"), (None, 1, "assistant", "it is " * 90), (None, 1, None, None), (7, 0, "user", "hello"), (7, 1, "assistant", "hi <|x")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = chat.op10_event_sourced(spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(chat.OP10_SQL).df()[list(got.columns)]
+    show = lambda df: sorted(map(str, df.astype({"conv_id": "Int64"}).astype(str).itertuples(index=False, name=None)))
+    assert show(got) == show(want)

@@ -9,7 +9,7 @@ before the last edit or regeneration are dropped; then a conversation's messages
 Inside texts and roles `\` becomes `\\` and `<|` becomes `<\|`; in roles a line feed becomes `\n` (two characters). So
 control strings occur at turn marks only, and the escapes can be undone. Null roles and texts are empty. Events that
 tie in seq are taken in order of kind and text; repeated messages are separate turns if their message_id differs.
-An empty log gives an empty result. The fold needs one conversation, as its digest does, never more, in one task.
+Null conv_ids are one conversation. An empty log gives an empty result. The fold needs one conversation, as its digest does, never more, in one task.
 """
 
 from __future__ import annotations
@@ -41,17 +41,24 @@ def unescaped_role(role: Column) -> Column:
     return F.replace(F.regexp_replace(marked, "\u0001([\\\\|])", "$1"), F.lit("\u0001n"), F.lit("\n"))
 
 
+def _same(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """left with right's other columns where conv_id and message_id are the same, null with null."""
+    ids = ["conv_id", "message_id"]
+    right = right.select(*[F.col(c).alias(f"_{c}") for c in ids], *[c for c in right.columns if c not in ids])
+    return left.join(right, F.col("conv_id").eqNullSafe(F.col("_conv_id")) & F.col("message_id").eqNullSafe(F.col("_message_id")), how).drop("_conv_id", "_message_id")
+
+
 def folded(log: DataFrame) -> DataFrame:
     """(conv_id, message_id, first_seq, role, text): the final draft of each message that was started."""
     reset = F.max(F.when(F.col("kind").isin("edit", "regenerate"), F.col("seq")))
     last = log.groupBy("conv_id", "message_id").agg(
         reset.alias("_reset"), F.min(F.when(F.col("kind") == "start", F.col("seq"))).alias("first_seq"), F.min_by("role", F.when(F.col("kind") == "start", F.col("seq"))).alias("role")
     )
-    kept = log.where(F.col("kind").isin("delta", "edit")).join(last.select("conv_id", "message_id", "_reset"), ["conv_id", "message_id"])
+    kept = _same(log.where(F.col("kind").isin("delta", "edit")), last.select("conv_id", "message_id", "_reset"), "inner")
     kept = kept.where(F.col("_reset").isNull() | (F.col("seq") >= F.col("_reset")))
     parts = F.array_sort(F.collect_list(F.struct("seq", F.when(F.col("kind") == "edit", 0).otherwise(1).alias("_k"), F.coalesce("text", F.lit("")).alias("text"))))
     drafts = kept.groupBy("conv_id", "message_id").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text"))
-    out = last.where("first_seq is not null").join(drafts, ["conv_id", "message_id"], "left")
+    out = _same(last.where("first_seq is not null"), drafts, "left")
     return out.select("conv_id", "message_id", "first_seq", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
 
