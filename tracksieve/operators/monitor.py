@@ -42,7 +42,7 @@ def daily(df: DataFrame) -> DataFrame:
 
 
 def rolling_alerts(snapshots: DataFrame, growth: float, drop: float) -> DataFrame:
-    """Row-framed alerts over the last 90 snapshots: review growth week over week, accept rate against its baseline."""
+    """Row-framed alerts over all snapshots given: review growth week over week, accept rate against its baseline."""
     w = Window.orderBy("seq")  # a row a day: pre-aggregated
     rate = F.col("auto_accept") / (F.col("total_crops") + 1e-9)
     out = snapshots.withColumn("week", F.sum("hitl_routed").over(w.rowsBetween(-6, 0))).withColumn("before", F.sum("hitl_routed").over(w.rowsBetween(-13, -7)))
