@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..plans.stages import ship, written
+from ..plans.stages import discard, ship, written
 
 BLOCK = 512  # vectors of a block
 
@@ -38,19 +38,36 @@ def similarity_edges(df: DataFrame, threshold: float, key: str = "vec_id", vecto
     return rows.groupBy(group, "_i", "_j").applyInArrow(block, "src long, dst long, weight double")
 
 
-def components(edges: DataFrame, nodes: DataFrame, key: str = "vec_id") -> DataFrame:
-    """(key, component) of every node, component its smallest member: alternating star contraction, written each round."""
-    live, state = edges.select(F.col("src").alias("lo"), F.col("dst").alias("hi")).where("lo < hi").distinct(), None
+def star_components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """Connected components of (a, b) edges: one (node, component) row per node, component its smallest node; written.
+
+    Alternating large-star and small-star rounds; each is a grouped minimum with map-side combine and a join that AQE
+    can split at a hot node. Every round is a written stage, whose count and checksum come with the write; the round
+    before is deleted. Ends when a round changes nothing. Null ends and self loops are ignored.
+    """
+    live, last, state = edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct(), None, None
     while True:
         both = live.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(live.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("lo < hi").distinct()
         low = large.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
         small = large.join(low, large.hi == low.u).select("u", F.col("lo").alias("v"), "m")
-        live = written(small.select(F.col("v").alias("hi"), F.col("m").alias("lo")).unionByName(small.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).where("lo < hi").distinct(), "stars")
-        now = tuple(live.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first())
+        new = small.select(F.col("v").alias("hi"), F.col("m").alias("lo")).unionByName(small.select(F.col("u").alias("hi"), F.col("m").alias("lo"))).where("lo < hi").distinct()
+        seen = Observation()
+        live = written(new.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)")).alias("s")), name)
+        if last is not None:
+            discard(last)
+        last, now = live, (seen.get["n"], seen.get["s"])
         if now == state or not now[0]:
             break
         state = now
-    label = live.groupBy(F.col("hi").alias(key)).agg(F.min("lo").alias("component"))
+    # Stars: each node but a component's smallest has one edge, to that one.
+    out = written(live.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(live.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()), name)
+    discard(live)
+    return out
+
+
+def components(edges: DataFrame, nodes: DataFrame, key: str = "vec_id") -> DataFrame:
+    """(key, component) of every node, component its smallest member. edges: (src, dst)."""
+    label = star_components(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")), "stars").withColumnRenamed("node", key)
     return nodes.select(key).join(label, key, "left").withColumn("component", F.coalesce("component", key))

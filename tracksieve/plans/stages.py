@@ -13,23 +13,40 @@ _shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir. A folder of this machine only under a local master,
+    where driver and executors are one process; on a cluster its files would be on the executor that wrote them."""
     set_to = spark.conf.get("spark.checkpoint.dir", None)
     if not set_to:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
         if made.isDefined():
             return made.get().rstrip("/")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tracksieve-"))
         set_to = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return set_to.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet in the shared folder and read back: lineage ends here, executors can be lost."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def discard(*stages: DataFrame) -> None:
+    """Deletes stages that written() made, once what was computed from them is written too."""
+    for df in stages:
+        path = getattr(df, "_stage_path", None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that workers can import it anywhere."""
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         _shipped.add(app)
