@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -45,6 +46,13 @@ def discard(*stages: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage: shuffle files of plans that nobody holds any more go from the executors'
+    disks, which otherwise happens whenever the driver's heap next fills. For after a stage, not within loops."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors once per application, so that workers can import it anywhere."""
     app = spark.sparkContext.applicationId
