@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from contextlib import contextmanager
 
 import duckdb
 import numpy as np
@@ -19,6 +20,28 @@ ODD = [None, "", " ", "\n", "a", "é", "word " * 4000, "x" * 50_000, "Same text,
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, media binary"
 
 
+#: Many partitions and tiny Arrow batches, so that groups and lists cross the bounds of tasks and batches.
+SPLIT = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}
+
+
+@contextmanager
+def settings(spark, **conf):
+    before = {k: spark.conf.get(k) if spark.conf._jconf.contains(k) else None for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def thue_morse(n):
+    """Two words of n letters that differ everywhere and that every polynomial hash modulo 2**64 takes for one."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     return spark.createDataFrame([(i, t, None, "s", None, "k", None) for i, t in enumerate(ODD)], DOCS)
@@ -83,8 +106,11 @@ def test_token_counts_match_the_library():
     library = Tokenizer.from_file(path)
     rng = random.Random(3)
     texts = ODD[1:] + ["".join(rng.choice(["'", "s", "re", "LL", " ", "  ", "\n", "\t", "1", "é", "!", "the", "ing", "<|endoftext|>", "'ll"]) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += [w for n in (1024, 2048, 4096) for w in thue_morse(n)]
     want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
     assert tokens.count_tokens(pa.array(texts), path).tolist() == want
+    with pytest.raises(ValueError):
+        tokens.Merges(public_tokenizers.path("word_bpe_49k.json"))
     assert tokens.count_tokens(pa.array([None], pa.string()), path).tolist() == [0]
 
 
@@ -103,6 +129,7 @@ def test_piece_ids_match_the_library():
     library = Tokenizer.from_file(path)
     rng = random.Random(4)
     texts = ODD[1:] + ["".join(rng.choice(["'", "s", "RE", "lL", " ", "\x85", "\n", "\x1c", "12", "é", "À", "!", "the", "Ing", "ſ", "Σ", "<|"]) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += [w for n in (1024, 2048, 4096) for w in thue_morse(n)]
     ids, bounds = packing.words_of(path).encode(pa.array(texts))
     for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
         assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids
@@ -247,8 +274,7 @@ def test_lines_short_repeats_and_near_match_below_eight_words(spark):
     rows = [(1, "Released under the MIT License.\n-\n\n  "), (2, "released under  the mit license.\nown\n-\n\n  "), (3, "released under the bsd license.")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"]: r["text"] for r in lines.dedup(docs).collect()} == {1: rows[0][1], 2: "own\n\n  ", 3: rows[2][1]}
-    assert lines.dropped(docs).count() == 0  # the SQL's contract
-    assert {(r["doc_id"], r["line"], r["near"]) for r in lines.dropped(docs, min_words=5).collect()} == {(2, 0, False), (3, 0, True)}
+    assert {(r["doc_id"], r["line"], r["near"]) for r in lines.dropped(docs, min_near=5).collect()} == {(2, 0, False), (2, 2, False), (3, 0, True)}
 
 
 def test_lines_two_edits_against_brute_force(spark, monkeypatch):
@@ -280,7 +306,7 @@ def test_lines_two_edits_against_brute_force(spark, monkeypatch):
         assert {r["doc_id"] for r in lines.dropped(docs, edits=2).collect()} == want
 
 
-def test_lines_hot_half_over_partitions_and_both_joins(spark, monkeypatch):
+def test_lines_hot_half_over_partitions_and_both_joins(spark):
     rng = random.Random(7)
     texts = ["same front half of lines " + " ".join(rng.choice("abcdef") for _ in range(rng.randint(4, 6))) for _ in range(300)]
     texts += [" ".join(rng.choice("pqrs") for _ in range(9)) + " same back half of all those lines" for _ in range(100)]
@@ -293,17 +319,26 @@ def test_lines_hot_half_over_partitions_and_both_joins(spark, monkeypatch):
     want = {i for i, a in enumerate(split) if any(within(a, b) for b in split[:i])}
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     assert 0 < len(want) < len(texts)
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "23")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    monkeypatch.setattr("tracksieve.llm.common.BATCH_ROWS", 3)
-    try:
-        for bound in (lines.MAX_BROADCAST, -1):
-            monkeypatch.setattr(lines, "MAX_BROADCAST", bound)
+    for bound in ("10m", "-1"):
+        with settings(spark, **SPLIT | {"spark.sql.autoBroadcastJoinThreshold": bound}):
             assert {r["doc_id"] for r in lines.dropped(docs).collect()} == want
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_lines_and_sets_tell_thue_morse_apart(spark, n):
+    one, two = (" ".join(w) for w in thue_morse(n))
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one), (4, thue_morse(n)[0]), (5, thue_morse(n)[1])], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in lines.dedup(docs).collect()} == {1: one, 2: two, 3: "", 4: thue_morse(n)[0], 5: thue_morse(n)[1]}
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs.where("doc_id > 3"), 2).collect()} == {4: 4, 5: 5}
+
+
+def test_lines_of_repeated_ids_and_clashing_names(spark):
+    line = "one two three four five six seven eight"
+    rows = [(1, f"own\n{line}", "a", 7), (2, f"keep\n{line}", "b", 7), (2, "first\nsecond\nthird", "c", 7), (None, line, "d", 7), (None, line, "e", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, drop_key string, n_lines_dropped long")
+    out = lines.dedup(docs)
+    assert out.columns == [*docs.columns, "n_lines_dropped_"]
+    assert sorted((r["drop_key"], r["text"], r["n_lines_dropped"]) for r in out.collect()) == [("a", "own", 7), ("b", "keep", 7), ("c", "first\nsecond\nthird", 7), ("d", line, 7), ("e", line, 7)]
 
 
 def test_chat_reset_order_and_escapes(spark):

@@ -1,19 +1,17 @@
-"""Shared pieces of the training-data operators: reading tables, bounded Arrow batches, written stages, components."""
+"""Shared pieces of the training-data operators: reading tables, bounded Arrow batches, free column names."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows and bytes of one Arrow batch between the JVM and a Python worker.
+from ..operators.graph import star_components as components  # noqa: F401
+from ..plans.stages import discard, release, shared_dir, ship, written  # noqa: F401
+
+#: Rows and bytes of one Arrow batch between the JVM and a Python worker, where the session sets none.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
@@ -21,85 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a local one only where that is unset (tests)."""
-    set_to = spark.conf.get("spark.checkpoint.dir", None)
-    if not set_to:
-        context = spark.sparkContext
-        made = context._jsc.sc().getCheckpointDir()
-        if made.isDefined():
-            return made.get().rstrip("/")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tracksieve-"))
-        set_to = context._jsc.sc().getCheckpointDir().get()
-    return set_to.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and read back: lineage ends here, executors can be lost."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once per application, so that workers can import it anywhere."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        _shipped.add(app)
-        package = Path(__file__).resolve().parent.parent
-        archive = Path(tempfile.mkdtemp(prefix="tracksieve-")) / f"{package.name}.zip"
-        with zipfile.ZipFile(archive, "w") as out:
-            for file in sorted(package.rglob("*.py")):
-                out.write(file, file.relative_to(package.parent))
-        spark.sparkContext.addPyFile(str(archive))
+def free(name: str, columns: list[str]) -> str:
+    """`name`, or it with underscores after it, so that no column has it (names are compared without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def arrow_map(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
-    """mapInArrow with batches bounded in rows and bytes, so that very long texts don't fill a worker."""
+    """mapInArrow with batches bounded in rows and bytes, so that very long texts don't fill a worker.
+
+    Spark reads the bounds when a plan runs, so they are set on the session, unless it has its own."""
     ship(df.sparkSession)
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    for key, value in (("maxRecordsPerBatch", str(BATCH_ROWS)), ("maxBytesPerBatch", str(BATCH_BYTES))):
+        if not conf._jconf.contains(f"spark.sql.execution.arrow.{key}"):
+            conf.set(f"spark.sql.execution.arrow.{key}", value)
     return df.mapInArrow(fn, schema)
-
-
-def struct_of(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(k, v) for k, v in fields.items()])
-
-
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Connected components of (a, b) edges: one (node, component) row per node, component its smallest node.
-
-    Alternating large-star and small-star rounds; each is a grouped minimum with map-side combine and a join
-    that AQE can split at a hot node. Every round is written to the shared folder; nothing is collected but a
-    count and a checksum. Ends when a round changes nothing; for star-shaped input that is two or three rounds.
-    Null ends and self loops are ignored; an empty input gives an empty result.
-    """
-    live = edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct()
-    state = None
-    while True:
-        both = live.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
-            live.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-        )
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        large = large.where("lo < hi").distinct()
-        low = large.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
-        small = large.join(low, large.hi == low.u).select("u", F.col("lo").alias("v"), "m")
-        small = small.select(F.col("v").alias("hi"), F.col("m").alias("lo")).unionByName(
-            small.select(F.col("u").alias("hi"), F.col("m").alias("lo"))
-        )
-        live = written(small.where("lo < hi").distinct(), name)
-        new = live.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if tuple(new) == state or not new[0]:
-            break
-        state = tuple(new)
-    return live.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component")).unionByName(
-        live.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
-    )

@@ -1,21 +1,24 @@
-"""Operator 7, line deduplication by a deletion-neighbourhood join.
+r"""Operator 7, line deduplication by a deletion-neighbourhood join.
 
-A line is its words (white space between, A-Z lowered). Lines of at least `min_words` words that are equal, or within an
-edit bound of one inserted, deleted or substituted word, are duplicates; the earliest, by document and line number,
-stays. Shorter ones of at least `min_exact` words are duplicates if they are equal. `dedup` drops repeats of every line that has a
-word; op7 keeps to its SQL, in which lines under MIN_WORDS words always stay.
+A line is its words (white space between, A-Z lowered). Lines with a word that are equal are duplicates, and so are lines
+of at least `min_near` words within an edit bound of one inserted, deleted or substituted word; the earliest, by document
+and line number, stays. With `edits=2` two lines of at least TWO_EDITS words are also within the bound at two such edits.
 
-With `edits=2`, as in `dedup`, two lines of at least TWO_EDITS words are also within the bound at two such edits. Those that share a
-third at about its place are candidates. Where at most HOT lines share it, their pairs are compared; the lines of larger
-groups emit all variants of two deletions, and the earliest is again a grouped minimum.
+Equal lines are merged first. Lines that share no half with another (one edit leaves the front or the back half of the
+shorter one as it is) can't be within the bound and are done. The others emit all variants of one deletion as hashed keys.
+Two lines within the bound have either equal variants at an equal place (substitution) or one equals the other's variant
+(insertion): the earliest is a grouped minimum per variant, so no pairs are formed however many lines share it. Each line
+that has an earlier one is then held against that one, word by word, and the edit distance is verified.
 
-Equal lines are merged first. Lines that share no half with another of about their length can't be within the bound
-(one edit leaves a half as it is) and are done. The others emit all variants of one deletion as hashed keys. Two lines within the bound have either equal variants at an equal place (substitution) or one equals the
-other's variant (insertion): the earliest is a grouped minimum per variant, so no pairs are formed however many lines
-share it. The distance is verified by a second, independent hash of what remains, its place and the lengths.
+With two edits, lines that share a third at about its place are candidates. Where at most HOT lines share it, their pairs
+are compared; the lines of larger groups emit all variants of two deletions, and the earliest is again a grouped minimum.
 
-Null and empty texts have no lines to drop. Documents with one id are one document's parts in no set order; their
-lines tie and equal ones stay once per id. An empty table gives an empty result. Other columns are kept by `dedup`.
+Hashes of lines are sums of scrambled (word, place) pairs, not polynomials; two of 64 bits are compared.
+
+Null and empty texts have no lines to drop; very long texts and lines are read whole. Ties (equal lines of one document
+number and line number, in repeated rows) both stay. Rows of one id and different texts are told apart by their lines.
+Rows with a null id come first and lose nothing. An empty table gives an empty result. Other columns are kept by `dedup`,
+also if they have the names that it uses; `n_lines_dropped` gets an underscore if docs has one.
 """
 
 from __future__ import annotations
@@ -25,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, table, written
+from .common import arrow_map, discard, free, release, table, written
 from .textvec import SPACE_SEPARATORS, U64, batches_of, buffers, lut, mix, segment_hash, word_spans
 
-MIN_WORDS = 8  # of near copies, and in op7's SQL of equal ones too
-MIN_EXACT = 1  # of equal lines in `dedup`
-TWO_EDITS = 16  # words from which `dedup` allows two edits
+MIN_NEAR = 8  # words of lines whose near copies are looked for
+TWO_EDITS = 16  # words from which edits=2 allows two
 HOT = 32  # lines of a shared third whose pairs are compared
-MAX_BROADCAST = 4_000_000  # numbers of wanted lines and documents, 8 bytes each with overhead: under 100 MB
-_P1, _P2 = U64(0x9E3779B97F4A7C15), U64(0xD1B54A32D192ED03)
+_STEP = U64(0xD1B54A32D192ED03)
+SEEDS = (U64(0x2545F4914F6CDD1D), U64(0x9FB21C651E98DF25))  # of the hash and of the one that checks it
+_BACK, _BAG = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 
 
 def _line_words(texts: pa.Array):
@@ -41,111 +44,127 @@ def _line_words(texts: pa.Array):
     raw, offsets = buffers(texts)
     low, word = lut(SPACE_SEPARATORS)
     start, end, _ = word_spans(raw, offsets, word)
-    breaks = np.flatnonzero(raw == 10) + 1
-    begins = np.unique(np.concatenate((offsets[:-1][np.diff(offsets) > 0], breaks)))  # where lines begin
+    at = np.zeros(len(raw) + 1, bool)  # where lines begin
+    at[1:] = raw == 10
+    at[offsets[:-1][np.diff(offsets) > 0]] = True
+    begins = np.flatnonzero(at[: len(raw)])
     doc = np.searchsorted(offsets, begins, "right") - 1
-    inside = (doc < len(offsets) - 1) & (begins < len(raw))
-    begins, doc = begins[inside], doc[inside]
     number = np.arange(len(doc)) - np.searchsorted(doc, doc)
     return segment_hash(raw, start, end, low), np.concatenate((np.searchsorted(start, begins), [len(start)])), doc, number
 
 
-def _powers(n: int, base: np.uint64) -> np.ndarray:
-    out = np.full(max(n, 1), base)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+class Sums:
+    """Running sums over the words of lines (first word, size): word and place, both scrambled, in the order of the lines.
 
+    A line less some words has the hash of what remains: words behind d deletions count at their place less d."""
 
-def _sums(words: np.ndarray, first: np.ndarray, size: np.ndarray, base: np.uint64):
-    """Positions within lines, lines of positions, and running sums of word * base ** place before each position."""
-    line = np.repeat(np.arange(len(first)), size)
-    begin = np.concatenate(([0], np.cumsum(size)))
-    place = np.arange(begin[-1]) - begin[:-1][line]
-    power = _powers(int(size.max(initial=1)) + 1, base)
-    own = words[first[line] + place]
-    total = np.concatenate(([U64(0)], np.cumsum(own * power[place])))
-    return line, begin, place, power, own, total
+    def __init__(self, words: np.ndarray, first: np.ndarray, size: np.ndarray):
+        self.size, self.line = size, np.repeat(np.arange(len(first)), size)
+        self.begin = np.concatenate(([0], np.cumsum(size)))
+        self.place = np.arange(self.begin[-1]) - self.begin[:-1][self.line]
+        self.own = words[first[self.line] + self.place]
 
+    def _total(self, keyed: np.ndarray) -> np.ndarray:
+        return np.concatenate(([U64(0)], np.cumsum(mix(self.own ^ keyed))))
 
-def variants(words: np.ndarray, first: np.ndarray, size: np.ndarray, base: np.uint64):
-    """For each line and place: hash of the line without that word. Also each line's own hash, place, line."""
-    line, begin, place, power, own, total = _sums(words, first, size, base)
-    inverse = U64(pow(int(base), -1, 1 << 64))
-    before = total[:-1] - total[begin[:-1]][line]
-    after = (total[begin[1:]][line] - total[1:]) * inverse
-    length = size.astype(U64)
-    cut = mix((before + after) ^ mix(length[line] - U64(1)))
-    whole = mix((total[begin[1:]] - total[begin[:-1]]) ^ mix(length))
-    return cut, whole, place, line
+    def _keys(self, seed: np.uint64) -> np.ndarray:
+        return mix(np.arange(int(self.size.max(initial=0)) + 3, dtype=U64) * _STEP + seed)
 
+    def behind(self, deletions: int, seed: np.uint64) -> np.ndarray:
+        """Sums before each position, as if so many words had been deleted before (at most two)."""
+        return self._total(self._keys(seed)[self.place + 2 - deletions])
 
-def _lists(keys: np.ndarray, has: np.ndarray) -> pa.ListArray:
-    """A list of distinct keys for each line that `has` them, an empty one for the others."""
-    own = [np.unique(k) for k in keys.view(np.int64)]
-    sizes = np.zeros(len(has) + 1, np.int64)
-    sizes[1:][has] = [len(k) for k in own]
-    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)))
+    def from_back(self) -> np.ndarray:
+        return self._total(self._keys(_BACK)[self.size[self.line] - 1 - self.place])
+
+    def bags(self) -> np.ndarray:
+        return self._total(np.full(1, _BAG))
+
+    def whole(self, seed: np.uint64) -> np.ndarray:
+        total = self.behind(0, seed)
+        return mix((total[self.begin[1:]] - total[self.begin[:-1]]) ^ mix(self.size.astype(U64)))
+
+    def less_one(self, seed: np.uint64) -> np.ndarray:
+        """For each word, the hash of its line without it."""
+        zero, one = self.behind(0, seed), self.behind(1, seed)
+        rest = (zero[:-1] - zero[self.begin[:-1]][self.line]) + (one[self.begin[1:]][self.line] - one[1:])
+        return mix(rest ^ mix(self.size[self.line].astype(U64) - U64(1)))
 
 
-def half_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Lines x 4 keys: for the line's length and one more as tag, half its words from the front, and from the back.
-    One edit leaves one of the halves as it is, and lengths differ by one at most: lines within the bound share a key."""
-    _, begin, _, _, _, total = _sums(words, first, size, _P1)
-    back = _powers(int(size.max(initial=1)) + 1, U64(pow(int(_P1), -1, 1 << 64)))
-    out = np.empty((len(size), 4), U64)
+def half_keys(sums: Sums) -> np.ndarray:
+    """Lines x 4 keys: so many words from the front, and from the back, for (n - 1) // 2 and n // 2 words; the last two are
+    0 where they repeat the first. Two lines within one edit have a number in common, for which front or back are equal."""
+    front, back, out = sums.behind(0, SEEDS[0]), sums.from_back(), np.zeros((len(sums.size), 4), U64)
+    lo, hi = sums.begin[:-1], sums.begin[1:]
     for k in (0, 1):
-        tag = size + k
-        half = (tag - 1) // 2
-        out[:, 2 * k] = mix((total[begin[:-1] + half] - total[begin[:-1]]) ^ mix(tag.astype(U64)))
-        tail = (total[begin[1:]] - total[begin[1:] - half]) * back[size - half]
-        out[:, 2 * k + 1] = mix(tail ^ mix(tag.astype(U64) + _P2))
+        half = (sums.size - 1 + k) // 2
+        tag = half.astype(U64) * U64(2)
+        out[:, 2 * k] = mix((front[lo + half] - front[lo]) ^ mix(tag))
+        out[:, 2 * k + 1] = mix((back[hi] - back[hi - half]) ^ mix(tag + U64(1)))
+    out[sums.size % 2 == 1, 2:] = 0
     return out
 
 
-def third_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+def third_keys(sums: Sums) -> np.ndarray:
     """Lines x 12 keys, with repeats: a third from the front, from the back, and one from the middle shifted by -1, 0 or 1.
     Two edits that leave neither outer third as it is are one in each, so the middle one is whole. The length of a third
-    is that of the longer line, even and so mostly the same for lengths that differ by two."""
-    _, begin, _, _, _, total = _sums(words, first, size, _P1)
-    back = _powers(int(size.max(initial=1)) + 1, U64(pow(int(_P1), -1, 1 << 64)))
-    out = np.empty((len(size), 12), U64)
-    at = 0
+    is that of the longer line, even and so mostly the same for lengths that differ by two. The middle counts as a bag."""
+    front, back, bags = sums.behind(0, SEEDS[0]), sums.from_back(), sums.bags()
+    lo, hi, out, at = sums.begin[:-1], sums.begin[1:], np.empty((len(sums.size), 12), U64), 0
     for more, shifts in ((0, (-1, 0, 1)), (1, (-1, 0)), (2, (-1,))):
-        third = (size + more) // 6 * 2
+        third = (sums.size + more) // 6 * 2
         tag = mix(third.astype(U64))
-        for kind, start in [(0, third * 0), (1, size - third), *((2, third + k) for k in shifts)]:
-            run = (total[begin[:-1] + start + third] - total[begin[:-1] + start]) * back[start]
+        runs = [front[lo + third] - front[lo], back[hi] - back[hi - third], *(bags[lo + 2 * third + k] - bags[lo + third + k] for k in shifts)]
+        for kind, run in zip((0, 1, 2, 2, 2), runs):
             out[:, at] = mix(run ^ mix(tag + U64(kind)))
             at += 1
     return out
 
 
-def occurrences(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MIN_WORDS, edits: int = 1) -> DataFrame:
-    """(doc_id, line, hash, check, keys, thirds): lines that may be dropped; half keys only for those of min_words words,
+def _lists(keys: np.ndarray, has: np.ndarray) -> pa.ListArray:
+    """A list of distinct keys for each line that `has` them, an empty one for the others."""
+    keys = np.sort(keys.view(np.int64), axis=1)
+    fresh = np.ones(keys.shape, bool)
+    fresh[:, 1:] = keys[:, 1:] != keys[:, :-1]
+    sizes = np.zeros(len(has) + 1, np.int64)
+    sizes[1:][has] = fresh.sum(1)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(keys[fresh]))
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def occurrences(docs: DataFrame, min_near: int = MIN_NEAR, edits: int = 1) -> DataFrame:
+    """(doc_id, line, hash, check, k0..k3[, thirds]): the lines with a word; half keys only for those of min_near words,
     keys of thirds only if two edits are allowed."""
+    names = ["doc_id", "line", "hash", "check", "k0", "k1", "k2", "k3", *["thirds"] * (edits > 1)]
 
     def run(batches):
         for batch in batches_of(batches, 2 << 20):
             words, bounds, doc, number = _line_words(batch.column(1))
             size = np.diff(bounds)
-            ids = batch.column(0)
-            long = np.flatnonzero(size >= max(1, min(min_words, min_exact)))
-            if not len(long):
+            some = np.flatnonzero(size)
+            if not len(some):
                 continue
-            first, full = bounds[:-1][long], size[long]
-            _, whole, *_ = variants(words, first, full, _P1)
-            _, check, *_ = variants(words, first, full, _P2)
-            near = full >= min_words
-            lists = _lists(half_keys(words, first[near], full[near]), near)
-            two = near & (full >= TWO_EDITS) & (edits > 1)
-            thirds = _lists(third_keys(words, first[two], full[two]), two)
-            yield pa.record_batch([ids.take(pa.array(doc[long])), pa.array(number[long].astype(np.int32)), pa.array(whole.view(np.int64)), pa.array(check.view(np.int64)), lists, thirds], ["doc_id", "line", "hash", "check", "keys", "thirds"])
+            sums = Sums(words, bounds[:-1][some], size[some])
+            near = sums.size >= min_near
+            own = Sums(words, bounds[:-1][some][near], sums.size[near])
+            keys = np.zeros((len(some), 4), U64)
+            keys[near] = half_keys(own)
+            cols = [batch.column(0).take(pa.array(doc[some])), pa.array(number[some].astype(np.int32)), *(pa.array(sums.whole(seed).view(np.int64)) for seed in SEEDS)]
+            cols += [pa.array(np.ascontiguousarray(k).view(np.int64), mask=k == 0) for k in keys.T]
+            if edits > 1:
+                two = near & (sums.size >= TWO_EDITS)
+                cols.append(_lists(third_keys(Sums(words, bounds[:-1][some][two], sums.size[two])), two))
+            yield pa.record_batch(cols, names)
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, line int, hash long, check long, keys array<long>, thirds array<long>")
+    schema = "doc_id long, line int, hash long, check long, k0 long, k1 long, k2 long, k3 long" + ", thirds array<long>" * (edits > 1)
+    return arrow_map(_documents(docs), run, schema)
 
 
-def wanted_lines(distinct: DataFrame) -> DataFrame:
-    """(doc_id, lines): of distinct lines (first, keys), those that may share a half key with another, by first place.
+def wanted_lines(keys: DataFrame) -> DataFrame:
+    """(doc_id, lines): of lines (key, doc_id, line), those that may share a key with another.
 
     One shuffle by ranges of (key, place), so that a hot key is split over partitions; in each, a row is taken if its
     neighbour has its key. The neighbours of a partition's first and last row are elsewhere: those two are always
@@ -176,35 +195,43 @@ def wanted_lines(distinct: DataFrame) -> DataFrame:
         if held is not None:
             yield pa.record_batch([pa.array([held[0][1]], pa.int64()), pa.array([held[0][2]], pa.int32())], ["doc_id", "line"])
 
-    keys = distinct.where("first.doc_id is not null").select(F.explode(F.array_distinct("keys")).alias("key"), "first.doc_id", "first.line")
-    ranged = keys.repartitionByRange("key", "doc_id", "line").sortWithinPartitions("key")
+    ranged = keys.where("key is not null and doc_id is not null").repartitionByRange("key", "doc_id", "line").sortWithinPartitions("key")
     return arrow_map(ranged, run, "doc_id long, line int").groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
 def _with_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    size = wanted.agg(F.sum(F.size("lines") + 4)).first()[0] or 0
-    side = F.broadcast(wanted) if size <= MAX_BROADCAST else wanted
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, "doc_id").select("doc_id", "text", "lines")
+    """The texts with wanted lines. Spark broadcasts a written `wanted` under its own threshold, else shuffles the texts once."""
+    return _documents(docs).join(wanted, "doc_id").select("doc_id", "text", "lines")
+
+
+def _chosen(batch, doc: np.ndarray, number: np.ndarray, long: np.ndarray) -> np.ndarray:
+    wants = [set(x) for x in batch.column(2).to_pylist()]
+    return np.array([k for k in np.flatnonzero(long).tolist() if int(number[k]) in wants[doc[k]]], np.int64)
 
 
-def neighbourhoods(docs: DataFrame, wanted: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(v, check, place, doc_id, line): all deletion variants of the wanted (doc_id, lines) and, at place -1, themselves."""
+def _words_of(words: np.ndarray, bounds: np.ndarray, chosen: np.ndarray) -> list:
+    return [words[bounds[k] : bounds[k + 1]].view(np.int64) for k in chosen]
+
+
+def neighbourhoods(docs: DataFrame, wanted: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
+    """(v, check, place, doc_id, line, words): all deletion variants of the wanted (doc_id, lines) and, at place -1,
+    themselves, there with their words."""
 
     def run(batches):
         for batch in batches_of(batches, 1 << 20):
             words, bounds, doc, number = _line_words(batch.column(1))
             size = np.diff(bounds)
-            wants = [set(x) for x in batch.column(2).to_pylist()]
-            chosen = np.array([k for k, (d, i) in enumerate(zip(doc.tolist(), number.tolist())) if i in wants[d] and size[k] >= min_words], np.int64)
+            chosen = _chosen(batch, doc, number, size >= min_near)
             for at in range(0, len(chosen), 2000):
                 part = chosen[at : at + 2000]
-                cut, whole, place, line = variants(words, bounds[:-1][part], size[part], _P1)
-                cut2, whole2, *_ = variants(words, bounds[:-1][part], size[part], _P2)
-                own = np.concatenate((line, np.arange(len(part))))
-                cols = [np.concatenate((cut, whole)).view(np.int64), np.concatenate((cut2, whole2)).view(np.int64), np.concatenate((place, np.full(len(part), -1))).astype(np.int32)]
-                yield pa.record_batch([*map(pa.array, cols), batch.column(0).take(pa.array(doc[part][own])), pa.array(number[part][own].astype(np.int32))], ["v", "check", "place", "doc_id", "line"])
+                sums = Sums(words, bounds[:-1][part], size[part])
+                own = np.concatenate((sums.line, np.arange(len(part))))
+                cols = [pa.array(np.concatenate((sums.less_one(seed), sums.whole(seed))).view(np.int64)) for seed in SEEDS]
+                cols.append(pa.array(np.concatenate((sums.place, np.full(len(part), -1))).astype(np.int32)))
+                told = pa.array([None] * len(sums.line) + _words_of(words, bounds, part), pa.list_(pa.int64()))
+                yield pa.record_batch([*cols, batch.column(0).take(pa.array(doc[part][own])), pa.array(number[part][own].astype(np.int32)), told], ["v", "check", "place", "doc_id", "line", "words"])
 
-    return arrow_map(_with_lines(docs, wanted), run, "v long, check long, place int, doc_id long, line int")
+    return arrow_map(_with_lines(docs, wanted), run, "v long, check long, place int, doc_id long, line int, words array<long>")
 
 
 def within(a: list, b: list, edits: int) -> bool:
@@ -218,6 +245,42 @@ def within(a: list, b: list, edits: int) -> bool:
     return edits > 0 and (within(a[1:], b[1:], edits - 1) or within(a[1:], b, edits - 1) or within(a, b[1:], edits - 1))
 
 
+def verified(pairs: DataFrame, held: DataFrame, edits: int) -> DataFrame:
+    """(first): of (first, least) pairs of places, those whose words in held (doc_id, line, words) are within the bound."""
+    words = lambda at, name: held.select(F.struct("doc_id", "line").alias(at), F.col("words").alias(name))
+    both = pairs.join(words("first", "a"), "first").join(words("least", "b"), "least").select("first.doc_id", "first.line", "a", "b")
+
+    def run(batches):
+        for batch in batches:
+            take = [within(a.as_py(), b.as_py(), edits) for a, b in zip(batch.column(2), batch.column(3))]
+            yield pa.record_batch([c.filter(pa.array(take, pa.bool_())) for c in batch.columns[:2]], ["doc_id", "line"])
+
+    return arrow_map(both, run, "doc_id long, line int").select(F.struct("doc_id", "line").alias("first"))
+
+
+def close_by_one(docs: DataFrame, distinct: DataFrame, min_near: int) -> DataFrame:
+    """(first): the distinct lines of min_near words or more with an earlier such line within one edit."""
+    keys = distinct.select(F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"), "first.doc_id", "first.line")
+    wanted = written(wanted_lines(keys), "wanted")
+    near = written(neighbourhoods(docs, wanted, min_near), "variants")
+    discard(wanted)
+    release(docs.sparkSession)
+    shared = written(near.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v"), "shared")
+    order = F.struct("doc_id", "line")
+    live = written(near.drop("words").join(shared, "v"), "shared_variants")  # the few that may have a partner
+    discard(shared)
+    at = live.groupBy("v", "check", "place").agg(F.min(order).alias("least"), F.count("*").alias("c"))
+    every = at.groupBy("v", "check").agg(
+        F.min(F.when(F.col("place") >= 0, F.col("least"))).alias("longer"), F.min(F.when(F.col("place") < 0, F.col("least"))).alias("itself"), F.sum("c").alias("c")
+    ).where("c > 1")
+    rows = live.join(every.drop("c"), ["v", "check"]).join(at.drop("c"), ["v", "check", "place"])
+    earliest = F.when(F.col("place") < 0, F.col("longer")).otherwise(F.least("least", "itself"))
+    pairs = rows.select(order.alias("first"), earliest.alias("least")).where("least < first").distinct()
+    out = written(verified(pairs, near.where("place = -1"), 1), "close_by_one")
+    discard(near, live)
+    return out
+
+
 def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, line, words, keys): word hashes and keys of thirds of the wanted (doc_id, lines)."""
 
@@ -225,12 +288,10 @@ def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches_of(batches, 1 << 20):
             words, bounds, doc, number = _line_words(batch.column(1))
             size = np.diff(bounds)
-            wants = [set(x) for x in batch.column(2).to_pylist()]
-            chosen = np.array([k for k, (d, i) in enumerate(zip(doc.tolist(), number.tolist())) if i in wants[d] and size[k] >= TWO_EDITS], np.int64)
+            chosen = _chosen(batch, doc, number, size >= TWO_EDITS)
             if len(chosen):
-                keys = _lists(third_keys(words, bounds[:-1][chosen], size[chosen]), np.ones(len(chosen), bool))
-                own = [words[bounds[k] : bounds[k + 1]].view(np.int64) for k in chosen]
-                yield pa.record_batch([batch.column(0).take(pa.array(doc[chosen])), pa.array(number[chosen].astype(np.int32)), pa.array(own, pa.list_(pa.int64())), keys], ["doc_id", "line", "words", "keys"])
+                keys = _lists(third_keys(Sums(words, bounds[:-1][chosen], size[chosen])), np.ones(len(chosen), bool))
+                yield pa.record_batch([batch.column(0).take(pa.array(doc[chosen])), pa.array(number[chosen].astype(np.int32)), pa.array(_words_of(words, bounds, chosen), pa.list_(pa.int64())), keys], ["doc_id", "line", "words", "keys"])
 
     return arrow_map(_with_lines(docs, wanted), run, "doc_id long, line int, words array<long>, keys array<long>")
 
@@ -238,14 +299,8 @@ def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _two_deletions(lines: DataFrame) -> DataFrame:
     """(v, check, g, h, doc_id, line): each line less none, one and two words; g <= h are the gaps in what remains, or -1."""
 
-    def hashes(words, base, i, j):
-        n = len(words)
-        inverse = U64(pow(int(base), -1, 1 << 64))
-        total = np.concatenate(([U64(0)], np.cumsum(words * _powers(n, base))))
-        return mix((total[i] + (total[j] - total[i + 1]) * inverse + (total[n] - total[j + 1]) * inverse * inverse) ^ mix(np.array([n - 2], U64)))
-
     def rows(batch, k, columns):
-        one = [pa.array(np.concatenate(c).view(np.int64)) if isinstance(c, tuple) else pa.array(c.view(np.int64) if c.dtype == U64 else c.astype(np.int32)) for c in columns]
+        one = [pa.array(c.view(np.int64)) if c.dtype == U64 else pa.array(c.astype(np.int32)) for c in columns]
         same = pa.array(np.full(len(one[0]), k))
         return pa.record_batch([*one, batch.column(0).take(same), batch.column(1).take(same)], ["v", "check", "g", "h", "doc_id", "line"])
 
@@ -254,21 +309,21 @@ def _two_deletions(lines: DataFrame) -> DataFrame:
             for k in range(batch.num_rows):
                 words = np.array(batch.column(2)[k].as_py(), np.int64).view(U64)
                 n = len(words)
-                cut, whole, place, _ = variants(words, np.array([0]), np.array([n]), _P1)
-                cut2, whole2, *_ = variants(words, np.array([0]), np.array([n]), _P2)
-                none = np.full(n + 1, -1)
-                yield rows(batch, k, [(cut, whole), (cut2, whole2), np.append(place, -1), none])
+                sums = Sums(words, np.array([0]), np.array([n]))
+                yield rows(batch, k, [*(np.append(sums.less_one(s), sums.whole(s)) for s in SEEDS), np.append(sums.place, -1), np.full(n + 1, -1)])
+                totals = [[sums.behind(d, s) for d in range(3)] for s in SEEDS]
                 step = max(1, (1 << 18) // n)
                 for at in range(0, n - 1, step):
-                    i = np.repeat(np.arange(at, min(at + step, n - 1)), n - 1 - np.arange(at, min(at + step, n - 1)))
-                    j = np.concatenate([np.arange(x + 1, n) for x in range(at, min(at + step, n - 1))])
-                    yield rows(batch, k, [hashes(words, _P1, i, j), hashes(words, _P2, i, j), i, j - 1])
+                    every = np.arange(at, min(at + step, n - 1))
+                    i, j = np.repeat(every, n - 1 - every), np.concatenate([np.arange(x + 1, n) for x in every.tolist()])
+                    cut = [mix((a[i] + (b[j] - b[i + 1]) + (c[n] - c[j + 1])) ^ mix(np.array([n - 2], U64))) for a, b, c in totals]
+                    yield rows(batch, k, [*cut, i, j - 1])
 
     return arrow_map(lines.select("doc_id", "line", "words"), run, "v long, check long, g int, h int, doc_id long, line int")
 
 
 def _close_in_hot(lines: DataFrame) -> DataFrame:
-    """(first): the lines with an earlier one within two edits, without pairs. The words deleted from two lines with one
+    """(first, least): lines with an earlier one within two edits, without pairs. The words deleted from two lines with one
     remainder cost, gap by gap, the larger of their numbers: at two edits, one line's gaps with two deletions hold the
     other's, or both have one deletion or none."""
     order = F.struct("doc_id", "line")
@@ -277,75 +332,88 @@ def _close_in_hot(lines: DataFrame) -> DataFrame:
     none, one, two = F.col("g") < 0, (F.col("g") >= 0) & (F.col("h") < 0), F.col("h") >= 0
     at = every.groupBy("v", "check").agg(least(none).alias("m0"), least(one).alias("m1"), least(two).alias("m2"), F.count("*").alias("c")).where("c > 1").drop("c")
     live = written(every.join(at, ["v", "check"]), "two_live")
+    discard(every)
     gaps = live.where("g >= 0").withColumn("gap", F.explode(F.array_distinct(F.when(two, F.array("g", "h")).otherwise(F.array("g")))))
     gaps = gaps.groupBy("v", "check", "gap").agg(least(one).alias("s1"), least(two).alias("s2"))
     both = live.where(two).groupBy("v", "check", "g", "h").agg(F.min(order).alias("d"))
-    whole = live.where(none).where(F.least("m0", "m1", "m2") < order)
-    single = live.where(one).join(gaps.withColumnRenamed("gap", "g"), ["v", "check", "g"]).where(F.least("m0", "m1", "s2") < order)
+    told = lambda rows, *cols: rows.select(order.alias("first"), F.least(*cols).alias("least")).where("least < first")
+    whole = told(live.where(none), "m0", "m1", "m2")
+    single = told(live.where(one).join(gaps.withColumnRenamed("gap", "g"), ["v", "check", "g"]), "m0", "m1", "s2")
     double = live.where(two).join(both, ["v", "check", "g", "h"]).join(gaps.select("v", "check", F.col("gap").alias("g"), F.col("s1").alias("a")), ["v", "check", "g"])
-    double = double.join(gaps.select("v", "check", F.col("gap").alias("h"), F.col("s1").alias("b")), ["v", "check", "h"]).where(F.least("m0", "a", "b", "d") < order)
-    return whole.select(order.alias("first")).unionByName(single.select(order.alias("first"))).unionByName(double.select(order.alias("first")))
+    double = told(double.join(gaps.select("v", "check", F.col("gap").alias("h"), F.col("s1").alias("b")), ["v", "check", "h"]), "m0", "a", "b", "d")
+    return whole.unionByName(single).unionByName(double)
 
 
 def close_by_two(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(first): the distinct lines of TWO_EDITS words or more with an earlier such line within two edits."""
-    wanted = written(wanted_lines(distinct.select("first", F.col("thirds").alias("keys"))), "wanted_two")
+    wanted = written(wanted_lines(distinct.select(F.explode("thirds").alias("key"), "first.doc_id", "first.line")), "wanted_two")
     held = written(_word_lists(docs, wanted), "word_lists")
+    discard(wanted)
+    release(docs.sparkSession)
     keyed = held.select(F.explode("keys").alias("key"), F.struct("doc_id", "line").alias("at"), F.size("words").alias("n"))
     counts = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     keyed = written(keyed.join(counts, "key"), "thirds")
     hot = keyed.where(F.col("c") > HOT).select("at.doc_id", "at.line").distinct()
     cold = keyed.where(F.col("c") <= HOT)
     other = cold.select("key", F.col("at").alias("least"), F.col("n").alias("m"))
-    pairs = cold.join(other, "key").where((F.col("least") < F.col("at")) & (F.abs(F.col("n") - F.col("m")) <= 2)).select("at", "least").distinct()
-    words = lambda at, name: held.select(F.struct("doc_id", "line").alias(at), F.col("words").alias(name))
-    pairs = pairs.join(words("at", "a"), "at").join(words("least", "b"), "least").select("at.doc_id", "at.line", "a", "b")
-
-    def run(batches):
-        for batch in batches:
-            take = [within(a.as_py(), b.as_py(), 2) for a, b in zip(batch.column(2), batch.column(3))]
-            yield pa.record_batch([c.filter(pa.array(take, pa.bool_())) for c in batch.columns[:2]], ["doc_id", "line"])
-
-    close = arrow_map(pairs, run, "doc_id long, line int").select(F.struct("doc_id", "line").alias("first"))
-    return close.unionByName(_close_in_hot(held.join(hot, ["doc_id", "line"])))
+    pairs = cold.join(other, "key").where((F.col("least") < F.col("at")) & (F.abs(F.col("n") - F.col("m")) <= 2)).select(F.col("at").alias("first"), "least")
+    pairs = pairs.unionByName(_close_in_hot(held.select("doc_id", "line", "words").join(hot, ["doc_id", "line"]))).distinct()
+    out = written(verified(pairs, held, 2), "close_by_two")
+    discard(held, keyed)
+    return out
 
 
-def dropped(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int | None = None, edits: int = 1) -> DataFrame:
-    """(doc_id, line, near): the lines to drop; near is false for copies of an equal line. min_exact is min_words if not given."""
+def dropped(docs: DataFrame, min_near: int = MIN_NEAR, edits: int = 1) -> DataFrame:
+    """(doc_id, line, hash, near), written: the lines to drop; near is false for copies of an equal line."""
     if edits not in (1, 2):
         raise ValueError("edits must be 1 or 2")
-    lines = written(occurrences(docs, min_words, min_words if min_exact is None else min_exact, edits), "lines")
-    order = F.struct("doc_id", "line")
-    distinct = written(lines.groupBy("hash", "check").agg(F.min(order).alias("first"), F.first("keys").alias("keys"), F.first("thirds").alias("thirds")), "distinct")
-    wanted = written(wanted_lines(distinct), "wanted")
-    near = written(neighbourhoods(docs, wanted, min_words), "variants")
-    at = near.groupBy("v", "check", "place").agg(F.min(order).alias("least"), F.count("*").alias("c"))
-    every = at.groupBy("v", "check").agg(
-        F.min(F.when(F.col("place") >= 0, F.col("least"))).alias("longer"), F.min(F.when(F.col("place") < 0, F.col("least"))).alias("itself"), F.sum("c").alias("c")
-    ).where("c > 1")
-    rows = near.join(every.drop("c"), ["v", "check"]).join(at.drop("c"), ["v", "check", "place"])
-    earliest = F.when(F.col("place") < 0, F.col("longer")).otherwise(F.least("least", "itself"))
-    close = rows.where(earliest < order).select(order.alias("first"))
+    lines = written(occurrences(docs, min_near, edits), "lines")
+    order, keys = F.struct("doc_id", "line"), ["k0", "k1", "k2", "k3", *["thirds"] * (edits > 1)]
+    distinct = written(lines.groupBy("hash", "check").agg(F.min(order).alias("first"), F.count("*").alias("c"), *[F.first(k).alias(k) for k in keys]), "distinct")
+    close = close_by_one(docs, distinct, min_near)
     if edits > 1:
-        close = close.unionByName(written(close_by_two(docs, distinct), "close_by_two"))
+        close = close.unionByName(close_by_two(docs, distinct))
     close = close.distinct().withColumn("near", F.lit(True))
-    marked = distinct.select("hash", "check", "first").join(close, "first", "left")
-    out = lines.select("doc_id", "line", "hash", "check").join(marked, ["hash", "check"])
-    out = out.where(F.col("near") | (order != F.col("first")))
-    return out.select("doc_id", "line", (F.coalesce("near", F.lit(False)) & (order == F.col("first"))).alias("near")).distinct()
+    marked = distinct.select("hash", "check", "first", "c").join(close, "first", "left").where("c > 1 or near")
+    out = lines.select("doc_id", "line", "hash", "check").join(written(marked.drop("c"), "marked"), ["hash", "check"])
+    out = out.where(F.col("doc_id").isNotNull() & (F.col("near") | (order != F.col("first"))))
+    out = written(out.select("doc_id", "line", "hash", (F.coalesce("near", F.lit(False)) & (order == F.col("first"))).alias("near")).distinct(), "dropped")
+    discard(lines, distinct)
+    release(docs.sparkSession)
+    return out
 
 
 def summary(drops: DataFrame) -> DataFrame:
     return drops.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"), F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"))
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS, min_exact: int = MIN_EXACT, edits: int = 2) -> DataFrame:
+def without_lines(texts: pa.Array, drops: pa.Array) -> pa.Array:
+    """Texts less the lines whose (number, hash) is in their list; a line of that number with other words stays."""
+    gone = [None if d is None else {(x["line"], x["hash"]) for x in d} for d in drops.to_pylist()]
+    words, bounds, doc, number = _line_words(texts)
+    hashes = Sums(words, bounds[:-1], np.diff(bounds)).whole(SEEDS[0]).view(np.int64)
+    at = np.searchsorted(doc, np.arange(len(texts) + 1))
+    out = []
+    for k, (text, own) in enumerate(zip(texts.to_pylist(), gone)):
+        if text is not None and own:
+            mine = zip(number[at[k] : at[k + 1]].tolist(), hashes[at[k] : at[k + 1]].tolist())
+            drop = {i for i, h in mine if (i, h) in own}
+            text = "\n".join(part for i, part in enumerate(text.split("\n")) if i not in drop)
+        out.append(text)
+    return pa.array(out, pa.string())
+
+
+def dedup(docs: DataFrame, min_near: int = MIN_NEAR, edits: int = 2) -> DataFrame:
     """docs with `text` less its dropped lines, and `n_lines_dropped`; other columns as they are."""
-    drops = written(summary(dropped(docs.select("doc_id", "text"), min_words, min_exact, edits)).select(F.col("doc_id").alias("_d"), F.col("lines").alias("_lines")), "drops")
-    out = docs.join(drops, docs["doc_id"] == drops["_d"], "left")
-    gone = F.transform("_lines", lambda i: i.cast("int"))
-    parts = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(gone, i))
-    return out.withColumn("text", F.when(F.col("_d").isNull(), F.col("text")).otherwise(F.array_join(parts, "\n"))).withColumn("n_lines_dropped", F.coalesce(F.size("_lines"), F.lit(0))).drop("_d", "_lines")
+    drops = dropped(docs.select("doc_id", "text"), min_near, edits)
+    key, lines, count = (free(c, docs.columns) for c in ("drop_key", "drop_lines", "n_lines_dropped"))
+    each = drops.groupBy(F.col("doc_id").alias(key)).agg(F.collect_list(F.struct("line", "hash")).alias(lines))
+    each = written(each, "drops")
+    discard(drops)
+    out = docs.join(each, docs["doc_id"].cast("long") == each[key], "left")
+    cut = F.arrow_udf(without_lines, "string")(F.when(F.col(lines).isNotNull(), F.col("text")), F.col(lines))
+    kept = [F.when(F.col(lines).isNull(), F.col("text")).otherwise(cut).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*kept, F.when(F.col(lines).isNull(), 0).otherwise(F.array_size(F.array_distinct(F.transform(lines, lambda x: x["line"])))).cast("int").alias(count))
 
 
 def op7_deletion_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,15 +429,16 @@ OP7_SQL = r"""
 WITH t AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, length(coalesce(text, '')) AS n FROM documents
 ), l AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS line, list_filter(regexp_split_to_array(translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM t, range(1, len(ls) + 1) r(i)),
-k AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS g FROM l WHERE len(w) >= 8),
+k AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS g FROM l WHERE len(w) >= 1),
 f AS (SELECT g, any_value(w) AS w, min(struct_pack(d := doc_id, l := line)) AS o FROM k GROUP BY g),
-v AS (SELECT g, o, CAST(i AS INTEGER) AS p, array_to_string(list_concat(w[1 : i - 1], w[i + 1 : len(w)]), ' ') AS x FROM f, range(1, len(w) + 1) r(i)),
+b AS (SELECT * FROM f WHERE len(w) >= 8),
+v AS (SELECT g, o, CAST(i AS INTEGER) AS p, array_to_string(list_concat(w[1 : i - 1], w[i + 1 : len(w)]), ' ') AS x FROM b, range(1, len(w) + 1) r(i)),
 s AS (SELECT p, x, min(o) AS o FROM v GROUP BY p, x),
 a AS (SELECT x, min(o) AS o FROM v GROUP BY x),
 near AS (
   SELECT DISTINCT v.g FROM v JOIN s ON s.p = v.p AND s.x = v.x WHERE s.o < v.o
-  UNION SELECT v.g FROM v JOIN f ON f.g = v.x WHERE f.o < v.o
-  UNION SELECT f.g FROM f JOIN a ON a.x = f.g WHERE a.o < f.o
+  UNION SELECT v.g FROM v JOIN b ON b.g = v.x WHERE b.o < v.o
+  UNION SELECT b.g FROM b JOIN a ON a.x = b.g WHERE a.o < b.o
 ), gone AS (
   SELECT k.doc_id, k.line, (n.g IS NOT NULL AND k.doc_id = f.o.d AND k.line = f.o.l) AS is_near
   FROM k JOIN f USING (g) LEFT JOIN near n USING (g) WHERE n.g IS NOT NULL OR k.doc_id <> f.o.d OR k.line <> f.o.l

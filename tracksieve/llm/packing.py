@@ -1,17 +1,20 @@
 """Operator 2, best-fit packing of token pieces into sequences with Martello-Toth dominance reduction.
 
 The tokens of every whole text are cut into pieces of at most `capacity`. Packing sees the histogram of piece lengths
-only, at most `capacity` rows at any corpus size: `reduce` permanently fixes sets of up to three lengths that dominate
+only, at most `capacity` rows at any corpus size: `plan` permanently fixes sets of up to three lengths that dominate
 every other feasible set of their largest piece, with whole multiplicities at once, until none is left to fix;
 best-fit decreasing packs the remainder, again by multiplicity. The plan is a bounded list of (length, rank range) ->
 (sequence, offset) rules. Ranks of equal lengths are dealt by hash buckets, so no task holds a frequent length alone.
+Equal words are told by their bytes, so ids are the library's for any text.
 
-Null texts are empty (one piece, the end id). Repeated rows are packed each; rows that agree in everything are
-interchangeable, so their order doesn't matter. An empty table gives an empty result; other columns are ignored.
+Null texts are empty (one piece, the end id). Very long texts are cut into pieces like all others. Repeated rows are
+packed each; rows that agree in everything are interchangeable, so their order doesn't matter (ties). An empty table
+gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from array import array
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, table, written
-from .textvec import batches_of, buffers, segment_hash
+from .textvec import batches_of, buffers, compacted, joined_values
 
 CAPACITY = 2048
 # Symbol classes of the pre-tokenizer within Latin-1.
@@ -68,7 +71,7 @@ def pre_tokens(points: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class Words:
-    """Hash of a pre-token -> row of its ids; each distinct one is asked from the library once."""
+    """Bytes of a pre-token -> row of its ids; each distinct one is asked from the library once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -80,19 +83,19 @@ class Words:
         self.forget()
 
     def forget(self) -> None:
-        self.rows: dict[int, int] = {}
+        self.rows: dict[bytes, int] = {}
         self.values, self.at = array("I"), array("q", [0])
 
-    def ask(self, hashes: list[int], words: list[str]) -> None:
+    def ask(self, words: list[bytes]) -> None:
         """Words that are one pre-token each, in one call: white space parts them, a word's last id ends it."""
-        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(self.library.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(words):
             raise ValueError("the vocabulary doesn't mark the ends of words")
         base, row = len(self.values), len(self.at) - 1
         self.values.frombytes(ids.tobytes())
         self.at.frombytes((ends + base).astype(np.int64).tobytes())
-        self.rows.update(zip(hashes, range(row, row + len(words))))
+        self.rows.update(zip(words, range(row, row + len(words))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(the library's ids of all texts, bounds). Texts beyond Latin-1, or with `<|`, go to it whole."""
@@ -112,16 +115,18 @@ class Words:
         if whole.any():
             kept = ~whole[np.searchsorted(edges, begin, "right") - 1]
             begin, end = begin[kept], end[kept]
-        same = pa.array(segment_hash(raw, lead[begin], lead[end])).dictionary_encode()
-        index, known = same.indices.to_numpy(zero_copy_only=False), same.dictionary.to_numpy().tolist()
-        one = np.empty(len(known), np.int64)
-        one[index[::-1]] = np.arange(len(index))[::-1]
-        new = [k for k, h in enumerate(known) if h not in self.rows]
-        if new:
-            lo, hi = lead[begin[one[new]]].tolist(), lead[end[one[new]]].tolist()
-            self.ask([known[k] for k in new], [data[a:b].decode() for a, b in zip(lo, hi)])
-        rows = np.fromiter(map(self.rows.__getitem__, known), np.int64, len(known))[index]
         bounds = np.searchsorted(begin, edges)
+        rows = np.zeros(0, np.int64)
+        if len(begin):
+            cut = np.zeros(len(raw) + 1, bool)
+            cut[0] = cut[-1] = cut[lead[begin]] = cut[lead[end]] = True
+            cuts = np.flatnonzero(cut)
+            same = joined_values(raw, cuts)
+            used, index = compacted(same.indices.to_numpy(zero_copy_only=False)[np.searchsorted(cuts, lead[begin])], len(same.dictionary))
+            known = same.dictionary.take(pa.array(used)).to_pylist()
+            if new := [w for w in known if w not in self.rows]:
+                self.ask(new)
+            rows = np.fromiter(map(self.rows.__getitem__, known), np.int64, len(known))[index]
         if whole.any():
             pieces, last = [], 0
             for doc in np.flatnonzero(whole).tolist():
@@ -287,13 +292,13 @@ def rules(groups: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, tuple[np
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """cut (doc_id, piece, start, length, ids_crc32, ...) with sequence_id and offset of every piece."""
-    spark = cut.sparkSession
-    cut = written(cut, "pieces")
+    spark, cut = cut.sparkSession, written(cut, "pieces")
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # `capacity` rows at most
     placed = rules(plan(histogram, capacity))
-    buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = [c for c in cut.columns if c != "ids"]
-    cut = cut.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    # A length's n pieces go to about sqrt(n) buckets, so that neither a bucket nor a length's list of buckets is long.
+    share = spark.createDataFrame([(x, math.isqrt(n - 1) + 1) for x, n in histogram.items()], "length long, _k int")
+    cut = cut.join(F.broadcast(share), "length").withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.col("_k"))).drop("_k").select(*cut.columns, "_b")
     each = cut.groupBy("length", "_b").agg(F.count("*").alias("_n"))
     before = each.select("length", "_b", (F.sum("_n").over(Window.partitionBy("length").orderBy("_b")) - F.col("_n")).alias("_before"))
     ranked = cut.withColumn("_r", F.row_number().over(Window.partitionBy("length", "_b").orderBy(*order)) - 1)

@@ -5,13 +5,13 @@ Every function takes a pyarrow string array (nulls count as empty) and works on
 
 from __future__ import annotations
 
-from functools import lru_cache
+import hashlib
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_BASE = U64(0x9E3779B97F4A7C15 | 1)
+_BASE = U64(0x9E3779B97F4A7C15)
 _M1, _M2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 
 #: Bytes that end a word for the white-space word rule `[^\x20\x09-\x0D]+`.
@@ -68,31 +68,48 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[
     return start, end, np.searchsorted(start, offsets)
 
 
-@lru_cache(1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-    out = []
-    for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
-        power = np.full(size, U64(base))
-        power[0] = 1
-        out.append(np.multiply.accumulate(power))
-    return out[0], out[1]
-
-
-_SCRAMBLED = mix(np.arange(1, 257, dtype=U64))
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)  # the first k bytes of eight
+LONG = 2048  # bytes of a segment from which a digest of the whole is taken
 
 
 def segment_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray, low: np.ndarray | None = None) -> np.ndarray:
-    """A 64-bit hash of each raw[start:end], case folded by `low`: polynomial, from one running sum over all bytes."""
+    """A 64-bit hash of each raw[start:end], case folded by `low`.
+
+    Eight bytes at a time go through the finaliser, each on top of what came before, so the hash isn't a sum over
+    places and has no algebraic collisions; segments of up to eight bytes and one length never collide.
+    """
     if not len(start):
         return np.zeros(0, U64)
-    power, inverse = _powers(max(1 << 22, 1 << len(raw).bit_length()))
-    total = np.empty(len(raw) + 1, U64)
-    total[0] = 0
-    values = (_SCRAMBLED if low is None else _SCRAMBLED[low])[raw]
-    values *= power[: len(raw)]
-    np.cumsum(values, out=total[1:])
-    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(U64) * _M2)
+    data = np.zeros(len(raw) + 8, np.uint8)
+    data[: len(raw)] = raw if low is None else low[raw]
+    words = np.ndarray((len(raw) + 1,), "<u8", data, strides=(1,))  # the eight bytes from each position on
+    size = end - start
+    out = mix(size.astype(U64) * _BASE)
+    if len(size):
+        out = mix(out ^ (words[start] & _MASKS[np.minimum(size, 8)]))
+    live = np.flatnonzero((size > 8) & (size <= LONG))
+    at = 8
+    while len(live):
+        out[live] = mix(out[live] * _BASE ^ (words[start[live] + at] & _MASKS[np.minimum(size[live] - at, 8)]))
+        at += 8
+        live = live[size[live] > at]
+    for k in np.flatnonzero(size > LONG).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def joined_values(texts_raw: np.ndarray, edges: np.ndarray) -> pa.DictionaryArray:
+    """The stretches texts_raw[edges[i]:edges[i + 1]] as an exact dictionary of their bytes; edges ascend from 0 to the end."""
+    offsets = pa.py_buffer(np.ascontiguousarray(edges, np.int64))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(texts_raw))]).dictionary_encode()
+
+
+def compacted(index: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the values below `size` that occur in index, ascending; index in terms of their places)."""
+    seen = np.zeros(size, bool)
+    seen[index] = True
+    place = np.cumsum(seen) - 1
+    return np.flatnonzero(seen), place[index]
 
 
 def word_hashes(texts: pa.Array, separators: bytes = SPACE_SEPARATORS) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +142,8 @@ def distinct_sets(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, n
     parts, sizes = [], np.zeros(len(bounds), np.int64)
     for i in range(len(bounds) - 1):
         if bounds[i + 1] > bounds[i]:
-            own = np.unique(values[bounds[i] : bounds[i + 1]])
+            own = np.sort(values[bounds[i] : bounds[i + 1]])
+            own = own[np.append(True, own[1:] != own[:-1])]
             parts.append(own)
             sizes[i + 1] = len(own)
     return (np.concatenate(parts) if parts else np.zeros(0, U64)), np.cumsum(sizes)

@@ -12,12 +12,18 @@ Two machines in a row, both deterministic, both with emitted-token counts on the
   first met, once per worker, into an open-addressing table that whole slices step through at once.
 
 A token ends a prefix's encoding exactly if it is compatible with the token before it, which holds for merge
-rules in rank order. Nulls are empty texts with no token; ids, ties and other columns don't matter.
+rules in rank order. Equal pre-tokens are told by their bytes, and stepped through once in a slice. Added tokens come
+from the vocabulary file; a file with another model, normalizer or pre-tokenizer is refused.
+
+Nulls are empty texts with no token. Whole texts are counted, very long ones in a slice of their own. Repeated rows,
+repeated ids and null ids each get their row. An empty table gives an empty result. Other columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -26,9 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map, table
-from .textvec import batches_of, buffers, segment_hash
+from .textvec import batches_of, buffers, compacted, joined_values
 
-SPECIAL = "<|endoftext|>"
 # Symbol classes.
 STOP, SPACE, WHITE, LETTER, NUMBER, OTHER, QUOTE, ONE, R_V, ELL, E_ = range(11)
 LETTERS = (LETTER, ONE, R_V, ELL, E_)
@@ -135,7 +140,17 @@ class Merges:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        model = whole["model"]
+        split, added = whole.get("pre_tokenizer") or {}, whole.get("added_tokens") or []
+        wants = (
+            (model.get("type", "BPE"), "BPE"), (whole.get("normalizer"), None), (split.get("type"), "ByteLevel"), (split.get("add_prefix_space"), False), (split.get("use_regex", True), True),
+            (model.get("dropout"), None), (bool(model.get("ignore_merges")), False), (model.get("end_of_word_suffix") or "", ""), (model.get("continuing_subword_prefix") or "", ""),
+            (any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added), False),
+        )
+        if wrong := [got for got, want in wants if got != want]:
+            raise ValueError(f"not a byte-level BPE file of the kind that is compiled here: {wrong}")
+        self.added = re.compile(b"|".join(re.escape(t) for t in sorted((t["content"].encode() for t in added if t["content"]), key=len, reverse=True))) if added else None
         to_byte = {c: b for b, c in _byte_chars().items()}
         self.ids = {bytes(to_byte[c] for c in token): i for token, i in model["vocab"].items() if all(c in to_byte for c in token)}
         pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
@@ -282,51 +297,46 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
-def count_tokens(texts: pa.Array, path: str, special: str = SPECIAL) -> np.ndarray:
-    """Tokens of each text (null: 0); `special` in a text is one token and ends what is around it."""
+def count_tokens(texts: pa.Array, path: str) -> np.ndarray:
+    """Tokens of each text (null: 0); an added token in a text is one token and ends what is around it."""
     raw, offsets = buffers(texts)
     out = np.zeros(len(offsets) - 1, np.int64)
     if not len(raw):
         return out
-    data = raw.tobytes()
+    data, compiled = raw.tobytes(), merges(path)
     points = np.frombuffer(data.decode("utf-8").encode("utf-32-le"), np.uint32)
     symbols = classes()[points]
-    lead = np.flatnonzero((raw & 0xC0) != 0x80)  # bytes where code points begin
-    mark, at = special.encode(), data.find(special.encode())
-    while at >= 0:
-        doc = int(np.searchsorted(offsets, at, "right")) - 1
-        if at + len(mark) <= offsets[doc + 1]:
+    lead = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # bytes where code points begin
+    at = 0
+    while compiled.added and (found := compiled.added.search(data, at)):
+        doc = int(np.searchsorted(offsets, found.start(), "right")) - 1
+        if found.end() <= offsets[doc + 1]:
             out[doc] += 1
-            k = int(np.searchsorted(lead, at))
-            symbols[k : k + len(special)] = STOP
-            at = data.find(mark, at + len(mark))
+            symbols[slice(*np.searchsorted(lead, found.span()))] = STOP
+            at = found.end()
         else:
-            at = data.find(mark, at + 1)
+            at = found.start() + 1
     doc_at = np.searchsorted(lead, offsets[:-1])  # a STOP before each text
     spread = np.insert(symbols, doc_at, STOP)
     origin = np.insert(np.arange(len(symbols)), doc_at, -1)
     first = begins(spread)
     first &= spread != STOP
-    kept = origin >= 0
-    begin_at = origin[first & kept]
+    begin_at = origin[first & (origin >= 0)]
+    if not len(begin_at):
+        return out
     stops = np.zeros(len(symbols) + 1, bool)
     stops[begin_at] = True
     stops[doc_at] = True
     stops[:-1] |= symbols == STOP
     stops[-1] = True
     edge = np.flatnonzero(stops)
-    edge_end = edge[np.searchsorted(edge, begin_at, "right")]
-    lead = np.append(lead, len(raw))
-    start, end = lead[begin_at], lead[edge_end]
-    if not len(start):
-        return out
-    same = pa.array(segment_hash(raw, start, end)).dictionary_encode()  # equal pre-tokens are stepped through once
-    index = same.indices.to_numpy(zero_copy_only=False)
-    one = np.empty(len(same.dictionary), np.int64)
-    one[index] = np.arange(len(index))
-    tokens = merges(path).counts(raw, start[one], (end - start)[one])[index]
+    same = joined_values(raw, lead[edge])
+    used, index = compacted(same.indices.to_numpy(zero_copy_only=False)[np.searchsorted(edge, begin_at)], len(same.dictionary))
+    _, at_buffer, values = same.dictionary.buffers()
+    bounds = np.frombuffer(at_buffer, np.int64, len(same.dictionary) + 1)
+    tokens = compiled.counts(np.frombuffer(values, np.uint8), bounds[used], bounds[used + 1] - bounds[used])[index]
     total = np.concatenate(([0], np.cumsum(tokens)))
-    return out + np.diff(total[np.searchsorted(start, offsets)])
+    return out + np.diff(total[np.searchsorted(lead[begin_at], offsets)])
 
 
 def token_counts(df: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
