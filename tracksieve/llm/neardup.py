@@ -8,12 +8,14 @@ Texts with equal shingle sets are one class from the start; only classes are has
 where both its half-keys are, so that keys are formed from shared half-keys alone; of buckets with the same members
 one is kept. Candidates are verified on full sets, in three passes over the buckets: all members against the smallest
 id; against a few members of the bucket's largest component; and whoever is still outside of it against all members,
-in a grid of blocks. Exact bounds from sizes and bitmaps rule most pairs out before their sets are read. Pairs within
-one component are never looked at; all others are verified or ruled out by a bound, with no cap on buckets or partners.
+in a grid of blocks. Exact bounds from sizes and bitmaps, which come with the half-keys, rule most pairs out before any
+set is made. Pairs within one component are never looked at; all others are verified or ruled out by a bound, with no
+cap on buckets or partners. Copies of one set find their class by (set, salt), so that a large group is dealt out.
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lowered; a text with fewer words than a shingle is one shingle; null or empty
-texts have none, are linked with nothing and kept. Repeated rows of one id count as one document (the result has every
-row). An empty table gives an empty result. Other columns are ignored.
+texts have none, are linked with nothing and kept. Very long texts are read whole. Rows of one id count as one document:
+it is linked with what any of its texts is linked with, and the result has every row. Ties don't arise (ids are told
+apart by value). An empty table gives an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,14 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, table, written
+from .common import arrow_map, components, discard, release, table, written
 from .textvec import U64, batches_of, distinct_sets, mix, shingles, word_hashes
 
 M, HALF = 13, 3
 PERCENT = 80
 HUBS = 4  # of a bucket's largest component, in the second pass
 BITS, BLOCK = 1024, 1024  # of a bitmap; members of a block
-MAX_BROADCAST = 4_000_000  # ids of documents in buckets, 8 bytes each with overhead: under 100 MB
 
 
 def _family(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -49,8 +50,16 @@ def half_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def bitmaps(values: np.ndarray, n: np.ndarray) -> pa.Array:
+    """For sets of n values each: parity bitmaps of BITS bits, in words of 64."""
+    at = np.repeat(np.arange(len(n)), n) * BITS + (values >> U64(64 - BITS.bit_length() + 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(n) * BITS) & 1).astype(bool).reshape(len(n), BITS)
+    packed = pa.array(np.packbits(odd, axis=1).reshape(-1).view(np.int64))
+    return pa.FixedSizeListArray.from_arrays(packed, BITS // 64).cast(pa.list_(pa.int64()))
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, set_hi, set_lo, half): per document, the set's 128-bit sum hash and its half-keys."""
+    """(doc_id, n_shingles, set_hi, set_lo, half, bits): per document, the set's 128-bit sum hash, half-keys and bitmap."""
 
     def run(batches):
         for batch in batches_of(batches, 2 << 20):
@@ -64,37 +73,33 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 lo[some] = np.add.reduceat(mix(values ^ U64(0x5851F42D4C957F2D)), inner[:-1]).view(np.int64)
                 for i, keys in zip(some.tolist(), half_keys(values, inner).view(np.int64)):
                     half[i] = keys
-            yield pa.record_batch([batch.column(0), pa.array(n), pa.array(hi), pa.array(lo), pa.array(half, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_hi", "set_lo", "half"])
+            yield pa.record_batch([batch.column(0), pa.array(n), pa.array(hi), pa.array(lo), pa.array(half, pa.list_(pa.int64())), bitmaps(values, n)], ["doc_id", "n_shingles", "set_hi", "set_lo", "half", "bits"])
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_shingles long, set_hi long, set_lo long, half array<long>")
+    schema = "doc_id long, n_shingles long, set_hi long, set_lo long, half array<long>, bits array<long>"
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
 
 
 def sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, bits, shingles): the sorted distinct shingle hashes, their number, and a parity bitmap of BITS bits."""
+    """(doc_id, n, shingles): the sorted distinct shingle hashes and their number."""
 
     def run(batches):
         for batch in batches_of(batches, 2 << 20):
             values, bounds = distinct_sets(*shingles(*word_hashes(batch.column(1)), size))
-            n = np.diff(bounds)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
-            at = np.repeat(np.arange(len(n)), n) * BITS + (values >> U64(64 - BITS.bit_length() + 1)).astype(np.int64)
-            odd = (np.bincount(at, minlength=len(n) * BITS) & 1).astype(bool).reshape(len(n), BITS)
-            packed = pa.array(np.packbits(odd, axis=1).reshape(-1).view(np.int64))
-            bits = pa.FixedSizeListArray.from_arrays(packed, BITS // 64).cast(pa.list_(pa.int64()))
-            yield pa.record_batch([batch.column(0), pa.array(n), bits, lists], ["doc_id", "n", "bits", "shingles"])
+            yield pa.record_batch([batch.column(0), pa.array(np.diff(bounds)), lists], ["doc_id", "n", "shingles"])
 
-    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, n long, bits array<long>, shingles array<long>")
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n long, shingles array<long>")
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
     """(key, doc_id): the keys of each class (doc_id, half) whose two half-keys both occur in other classes too."""
     halves = written(classes.select("doc_id", F.posexplode("half").alias("slot", "h")), "halves")
     shared = halves.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h")
-    held = halves.join(shared, "h").groupBy("doc_id").agg(F.collect_list(F.struct("slot", "h")).alias("own"))  # 2M at most
+    held = halves.join(shared, "h").groupBy("doc_id").agg(F.collect_set(F.struct("slot", "h")).alias("own"))  # 2M for each text
     side = lambda test: F.filter("own", lambda x: test(x["slot"]))
     held = held.select("doc_id", side(lambda k: k < M).alias("one"), side(lambda k: k >= M).alias("two"))
     pairs = F.flatten(F.transform("one", lambda x: F.transform("two", lambda y: F.xxhash64(x["slot"], y["slot"], x["h"], y["h"]))))
-    return held.select("doc_id", F.explode(pairs).alias("key"))
+    return held.select("doc_id", F.explode(F.array_distinct(pairs)).alias("key"))
 
 
 def buckets(keys: DataFrame) -> DataFrame:
@@ -195,42 +200,77 @@ def exhausted(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 
 def grouped(classes: DataFrame, docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
-    """(node, component) as all links between classes in one bucket give it. classes: (doc_id, half)."""
-    members = written(buckets(written(table_keys(classes), "keys")), "members")
-    inside = written(members.select("doc_id").distinct(), "inside")
-    side = F.broadcast(inside) if inside.count() <= MAX_BROADCAST else inside  # else the join shuffles the texts once
-    full = written(sets(docs.join(side, "doc_id", "left_semi"), size), "sets")
+    """(node, component) as all links between classes in one bucket give it. classes: (doc_id, half, n, bits)."""
+    keys = written(table_keys(classes.select("doc_id", "half")), "keys")
+    members = written(buckets(keys), "members")
+    discard(keys)
+    inside = written(members.select(F.col("doc_id").alias("_id")).distinct(), "inside")
+    small = written(classes.select("doc_id", "n", "bits").join(inside, F.col("doc_id") == F.col("_id"), "left_semi"), "bitmaps")
+    # Spark broadcasts the ids under its own threshold, else this join shuffles the texts once.
+    full = written(sets(docs.join(inside, docs["doc_id"].cast("long") == inside["_id"], "left_semi"), size), "sets")
+    discard(inside)
+    release(docs.sparkSession)
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        held = written(pairs, "pairs")
+        out = written(verified(held, full, percent).distinct(), "links")
+        discard(held)
+        return out
+
     # First the smallest id of each bucket as its hub, then members of its largest component, then what is left.
-    new = verified(written(plausible(_pairs(members.where("hub != doc_id")), full, percent), "pairs"), full, percent)
-    at = components(written(new, "links"))
-    members = _labelled(members, at)
+    new = checked(plausible(_pairs(members.where("hub != doc_id")), small, percent))
+    at = components(new, "links")
+    left = _labelled(members, at)
+    discard(new, members)
     pick = lambda s: F.max(F.struct("size", F.xxhash64("component", "doc_id", F.lit(s)).alias("h"), "doc_id", "component"))
-    hubs = members.groupBy("key").agg(F.array_distinct(F.array(*[pick(s) for s in range(HUBS)])).alias("hubs")).select("key", F.explode("hubs").alias("h"))
+    hubs = left.groupBy("key").agg(F.array_distinct(F.array(*[pick(s) for s in range(HUBS)])).alias("hubs")).select("key", F.explode("hubs").alias("h"))
     hubs = hubs.select("key", F.col("h.doc_id").alias("hub"), F.col("h.component").alias("hub_component"))
-    found = plausible(_pairs(members.join(hubs, "key").where("component != hub_component")), full, percent)
-    at = _joined(at, verified(written(found, "pairs"), full, percent))
-    members = _labelled(members, at)
-    return _joined(at, verified(written(exhausted(members, full, percent), "pairs"), full, percent))
+    at = _joined(at, checked(plausible(_pairs(left.join(hubs, "key").where("component != hub_component")), small, percent)))
+    last = _labelled(left, at)
+    discard(left)
+    out = _joined(at, checked(exhausted(last, small, percent)))
+    discard(last, small, full)
+    release(docs.sparkSession)
+    return out
 
 
 def _joined(at: DataFrame, new: DataFrame) -> DataFrame:
     """The components `at` (node, component) with further links (a, b)."""
-    new = written(new, "links")
     if new.isEmpty():
         return at
-    return components(written(at.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), "links"))
+    out = components(at.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), "links")
+    discard(at, new)
+    return out
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text)."""
+    """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id, text); written."""
+    spark, docs = docs.sparkSession, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(signatures(docs, size), "signatures")
-    some = signed.where("n_shingles > 0")
-    classes = some.groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("class"))
-    reps = written(some.join(classes, ["set_hi", "set_lo"]).where("doc_id = class").dropDuplicates(["doc_id"]).select("doc_id", "half"), "classes")
-    at = grouped(reps, docs, size, percent).select(F.col("node").alias("class"), "component")
-    out = signed.join(classes, ["set_hi", "set_lo"], "left").join(at, "class", "left")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "class", "doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), (own == F.col("doc_id")).alias("kept"))
+    salts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    salt = lambda c: F.pmod(F.xxhash64(c), F.lit(salts)).alias("salt")
+    some = signed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "set_hi", "set_lo", salt("doc_id"))
+    salted = some.groupBy("set_hi", "set_lo", "salt").agg(F.min("doc_id").alias("m"))
+    classes = written(salted.join(salted.groupBy("set_hi", "set_lo").agg(F.min("m").alias("class")), ["set_hi", "set_lo"]).drop("m"), "classes")
+    full, texts = signed.where("n_shingles > 0"), docs
+    repeated = written(signed.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 and doc_id is not null").select("doc_id"), "repeated")
+    if not repeated.isEmpty():  # one row for each different text of an id
+        one = lambda df, *of: df.join(repeated, "doc_id", "left_anti").unionByName(df.join(repeated, "doc_id", "left_semi").dropDuplicates([*of]))
+        full, texts = one(full, "doc_id", "set_hi", "set_lo"), one(docs, "doc_id", "text")
+    own = classes.where(salt("class") == F.col("salt")).select("set_hi", "set_lo", F.col("class").alias("doc_id"))
+    reps = written(full.join(own, ["set_hi", "set_lo", "doc_id"], "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "half", "bits"), "reps")
+    at = grouped(reps, texts, size, percent)
+    named = classes.join(at.withColumnRenamed("node", "class"), "class", "left").select("set_hi", "set_lo", "salt", F.coalesce("component", "class").alias("of"))
+    linked = some.join(named, ["set_hi", "set_lo", "salt"]).select("doc_id", "n_shingles", "of")
+    if not repeated.isEmpty():  # an id with several texts is in the component of each: they are one
+        one = linked.groupBy("doc_id").agg(F.min("of").alias("a"), F.max("of").alias("b")).where("a < b")
+        ties = components(linked.join(one, "doc_id").select("a", F.col("of").alias("b")), "ties")
+        linked = linked.join(ties.withColumnRenamed("node", "of"), "of", "left").select("doc_id", "n_shingles", F.coalesce("component", "of").alias("of"))
+    alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("of"))
+    out = linked.unionByName(alone).select("doc_id", "n_shingles", F.col("of").alias("component_id"), F.coalesce(F.col("of") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = written(out, "near")
+    discard(signed, classes, repeated, reps, at)
+    return out
 
 
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
