@@ -249,6 +249,46 @@ def test_toxicity_learns_and_odd_rows(spark, odd, nothing):
     scored = {r["doc_id"]: r["score"] for r in toxicity.score(odd, net).collect()}
     assert len(scored) == len(ODD) and scored[0] == scored[1] and scored[8] == scored[9] and all(0 <= s <= 1 for s in scored.values())
     assert toxicity.train(df, df.select("doc_id", F.lit(0).alias("toxic"))) is None and toxicity.score(nothing, net).count() == 0
+    clash = odd.withColumn("score", F.lit("s")).withColumn("flagged", F.lit("f"))
+    carried = toxicity.score(clash, None, carry=tuple(clash.columns))
+    assert carried.columns == [*clash.columns, "score_"] and carried.count() == len(ODD)
+
+
+def test_thresholds_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MIN_LANG", 3)
+    rng = random.Random(9)
+    rows = [(i, rng.choice(["en", "fr", "xx", None]), round(rng.random(), 3), rng.randrange(2)) for i in range(60)]
+    rows = [(i, "xx" if i < 2 else "en" if x == "xx" else x, s, t) for i, x, s, t in rows]
+    df = spark.createDataFrame([(i, x, s) for i, x, s, _ in rows] + [(99, "en", 0.5)], "doc_id long, lang string, score double")
+    labels = spark.createDataFrame([(i, t) for i, *_, t in rows] + [(5, 0), (None, 1)], "doc_id long, toxic int")
+
+    def best(own):
+        wrong = {c: sum((int(s * 100) >= c) != (t == 1) for *_, s, t in own) for c in range(toxicity.LEAST, toxicity.MOST + 1)}
+        ties = [c for c, w in wrong.items() if w == min(wrong.values())]
+        return ties[(len(ties) + 1) // 2 - 1] / 100
+
+    want = {None: best(rows)} | {x: best([r for r in rows if r[1] == x]) for x in ("en", "fr")}
+    bounds = toxicity.thresholds(df, labels)
+    assert {r["lang"]: r["threshold"] for r in bounds.collect()} == want
+    got = {r["doc_id"]: r["flagged"] for r in toxicity.flagged(df, bounds).collect()}
+    assert got == {i: s >= want.get(x, want[None]) for i, x, s, _ in rows} | {99: 0.5 >= want["en"]}
+    assert not any(r["flagged"] for r in toxicity.flagged(df, toxicity.thresholds(df, labels.where("false"))).collect())
+
+
+def test_pooling_and_gradients_by_loops():
+    rng = np.random.default_rng(0)
+    docs = [rng.integers(0, toxicity.HASHED, (2, n)).astype(np.int32) + np.array([[0], [toxicity.HASHED]], np.int32) for n in (0, 1, 2, 7)]
+    kept = (rng.integers(0, 48, 2 * toxicity.HASHED) + 2).astype(np.int32)
+    net = toxicity.Net(kept, rng.normal(size=(50, toxicity.EMBED)).astype(np.float32), {w: rng.normal(size=(w, toxicity.EMBED, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS}, rng.normal(size=36).astype(np.float32), rng.normal(size=36).astype(np.float32), 0.3)
+    net.embed[toxicity.PAD] = 0
+    ids, bounds = np.concatenate(docs, axis=1), np.cumsum([0, *[d.shape[1] for d in docs]])
+    pooled, _ = net.pooled(*net.rows(ids, bounds))
+    for doc, got in zip(docs, pooled):
+        words = [net.embed[kept[a]] + net.embed[kept[b]] for a, b in doc.T] + [np.zeros(toxicity.EMBED)] * 2
+        for k, w in enumerate(toxicity.WIDTHS):
+            every = [sum(words[i + j] @ net.filters[w][j] for j in range(w)) for i in range(doc.shape[1])]
+            want = np.max(every, axis=0) if every else np.zeros(toxicity.FILTERS)
+            assert np.allclose(got[k * toxicity.FILTERS : (k + 1) * toxicity.FILTERS], want, atol=1e-4)
 
 
 def test_proximity_and_odd_texts(spark, odd, nothing):

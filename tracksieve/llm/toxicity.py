@@ -3,31 +3,35 @@
 A word's embedding is the sum of two hashed ones, of the word and of its first PREFIX bytes (so that unseen endings of
 a known stem count); filters over one, two and three words; the maximum over the whole text; a logistic
 layer. Buckets that fewer than MIN_DOCS sampled texts have share one embedding, so that rare words aren't learned by
-heart. Fitted on at most SAMPLE labelled rows of each class, by hash of doc_id, of at most MAX_WORDS words each. A
-held-back part of the sample stops the training and calibrates a threshold for each language, for `flagged`; score
-and `predicted` come from the text only.
-
-Null and empty texts have the score of no word at all. Rows with equal texts get equal scores. Without labels of both
-classes the score is 0. Repeated label rows count once (toxic if any says so).
+heart. Fitted, in one executor task, on at most SAMPLE labelled rows of each class, by hash of doc_id, of at most
+MAX_WORDS words each; a held-back part of the sample stops the training. `thresholds` has a threshold for each language
+from the scores of all labelled rows, counted by score; `score` and `predicted` come from the text only.
+
+Null and empty texts have the score of no word at all. Very long texts are scored whole. Rows with equal texts get equal
+scores (ties, repeated rows). Without labels of both classes the score is 0 and nothing is flagged. Repeated label rows
+count once (toxic if any says so). An empty table gives an empty result. Columns are carried whatever their names; the
+score's gets an underscore if one has its name.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import pickle
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, table
+from .common import arrow_map, free, table, written
 from .textvec import U64, batches_of, buffers, lut, segment_hash, word_spans
 
 SAMPLE, MAX_WORDS, MIN_DOCS, PREFIX = 2500, 4000, 4, 4
 HASHED, EMBED, FILTERS, WIDTHS = 1 << 16, 12, 12, (1, 2, 3)
 EPOCHS, BATCH, RATE, DECAY = 6, 32, 0.02, 1e-4
 RARE, PAD = 0, 1
-MIN_LANG = 40  # validation rows of each class for a threshold of a language's own
+MIN_LANG = 40  # labelled rows of each class for a threshold of a language's own, else the one of all languages
+BINS, LEAST, MOST = 100, 30, 90  # of scores; thresholds lie at the bounds of these
 
 # Not part of words: ASCII other than letters, digits.
 _SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
@@ -51,7 +55,6 @@ class Net:
     bias: np.ndarray
     out: np.ndarray
     shift: float
-    thresholds: dict[str, float] = field(default_factory=dict)
 
     def tables(self) -> list[list[np.ndarray]]:
         return [[self.embed @ self.filters[w][j] for j in range(w)] for w in WIDTHS]
@@ -99,7 +102,7 @@ class Net:
         return out, grown
 
 
-def fit(docs: list[np.ndarray], toxic: np.ndarray, langs: list[str], seed: int = 7) -> Net:
+def fit(docs: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> Net:
     rng = np.random.default_rng(seed)
     seen = np.zeros(2 * HASHED, np.int32)
     for ids in docs:
@@ -157,81 +160,92 @@ def fit(docs: list[np.ndarray], toxic: np.ndarray, langs: list[str], seed: int =
         for k, p in params.items():
             p[...] = best[0][k]
         net.shift = best[1]
-    calibrate(net, net.score(*joined(held)), toxic[held], [langs[i] for i in held])
     return net
 
 
-def calibrate(net: Net, score: np.ndarray, toxic: np.ndarray, langs: list[str]) -> None:
-    """For each language the threshold with the fewest errors on held-back rows; the middle of those that tie."""
-
-    def threshold(which: np.ndarray) -> float:
-        s, t = score[which], toxic[which]
-        cuts = np.unique(np.concatenate((np.linspace(0.3, 0.9, 61), [0.5])))
-        errors = np.array([np.sum((s >= c) != (t == 1)) for c in cuts])
-        good = cuts[errors == errors.min()]
-        return float(good[np.argmin(np.abs(good - good.mean()))])
-
-    every = np.array(langs, object)
-    net.thresholds[""] = threshold(np.arange(len(score))) if len(score) else 0.5
-    for lang in sorted({x for x in langs if x is not None}):
-        which = np.flatnonzero(every == lang)
-        if min(np.sum(toxic[which] == 1), np.sum(toxic[which] == 0)) >= MIN_LANG:
-            net.thresholds[lang] = threshold(which)
-
-
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Net | None:
-    """Fit on documents (doc_id, text, lang) and labels (doc_id, toxic); the sample is a bounded broadcast."""
+    """Fit on documents (doc_id, text) and labels (doc_id, toxic). The sample is a bounded broadcast; its texts' word
+    ids, at most 2 * sample * MAX_WORDS of them, go to one task, and only the fitted weights come to the driver."""
     one = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     one = one.withColumn("_h", F.xxhash64("doc_id"))
     part = lambda t: one.where(F.col("toxic") == t).orderBy("_h", "doc_id").limit(sample)
     chosen = part(1).unionByName(part(0))
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("_h", "toxic", "lang", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("_h", "toxic", "text")
 
     def run(batches):
         for batch in batches_of(batches):
-            ids, bounds = word_ids(batch.column(3))
+            ids, bounds = word_ids(batch.column(2))
             size = np.diff(bounds)
             packed = pa.array([ids[:, a:b].tobytes() if n <= MAX_WORDS else None for a, b, n in zip(bounds[:-1], bounds[1:], size)], pa.binary())
-            yield pa.record_batch([batch.column(0), batch.column(1).cast(pa.int32()), batch.column(2), packed], ["_h", "toxic", "lang", "ids"])
+            yield pa.record_batch([batch.column(0), batch.column(1).cast(pa.int32()), packed], ["_h", "toxic", "ids"])
 
-    got = arrow_map(rows, run, "_h long, toxic int, lang string, ids binary").where("ids is not null").orderBy("_h", "ids").limit(2 * sample).collect()
-    toxic = np.array([r[1] for r in got], np.float32)
-    if not len(got) or toxic.min() == toxic.max():
-        return None
-    return fit([np.frombuffer(r[3], np.int32).reshape(2, -1) for r in got], toxic, [r[2] for r in got])
+    def learn(batches):
+        got = [(r["toxic"], np.frombuffer(r["ids"], np.int32).reshape(2, -1)) for batch in batches for r in batch.to_pylist()]
+        toxic = np.array([t for t, _ in got], np.float32)
+        if len(got) and toxic.min() < toxic.max():
+            yield pa.record_batch([pa.array([pickle.dumps(fit([ids for _, ids in got], toxic))], pa.binary())], ["net"])
 
+    # Sorted in one task, so that the fit doesn't depend on how rows were dealt.
+    sampled = arrow_map(rows, run, "_h long, toxic int, ids binary").where("ids is not null").orderBy("_h", "ids", "toxic").limit(2 * sample)
+    got = arrow_map(sampled.select("toxic", "ids"), learn, "net binary").collect()
+    return pickle.loads(got[0][0]) if got else None
 
-def score(df: DataFrame, net: Net | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The carried columns and the score of every row's whole text."""
-    kinds = {c: df.schema[c].dataType.simpleString() for c in carry}
+
+def score(df: DataFrame, net: Net | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """The carried columns and, as `name`, the score of every row's whole text."""
+    kinds = [df.schema[c].dataType.simpleString() for c in carry]
+    given = [f"_{k}" for k in range(len(carry))]
 
     def run(batches):
         tables = net.tables() if net else None
         for batch in batches_of(batches, 2 << 20, "_text"):
             found = net.score(*word_ids(batch.column(len(carry))), tables) if net else np.zeros(batch.num_rows)
-            yield pa.record_batch([*batch.columns[: len(carry)], pa.array(found, pa.float64())], [*carry, "score"])
-
-    return arrow_map(df.select(*carry, F.col(text).alias("_text")), run, ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", score double")
-
-
-def flagged(net: Net | None) -> F.Column:
-    """score against the threshold of the row's language."""
-    if net is None:
-        return F.lit(False)
-    known = F.create_map(*[F.lit(x) for k, t in net.thresholds.items() for x in (k, t)])
-    return F.col("score") >= F.coalesce(F.element_at(known, F.coalesce("lang", F.lit(""))), F.lit(net.thresholds[""]))
+            yield pa.record_batch([*batch.columns[: len(carry)], pa.array(found, pa.float64())], [*given, "_score"])
+
+    inner = df.select(*[df[c].alias(g) for c, g in zip(carry, given)], df[text].alias("_text"))
+    out = arrow_map(inner, run, ", ".join(f"{c} {k}" for c, k in zip(given, kinds)) + ", _score double")
+    return out.select(*[F.col(g).alias(c) for c, g in zip(carry, given)], F.col("_score").alias(free(name, list(carry))))
+
+
+def thresholds(scored: DataFrame, labels: DataFrame) -> DataFrame:
+    """(lang, threshold) from all labelled rows of scored (doc_id, lang, score): for each language with MIN_LANG rows of
+    each class the bound of a score bin with the fewest errors, the middle of those that tie; null: of all rows."""
+    one = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") == 1).alias("toxic"))
+    known = scored.select("doc_id", "lang", F.floor(F.col("score") * BINS).cast("int").alias("bin")).join(one, "doc_id")
+    own = F.struct("lang", F.lit(False).alias("every"))
+    counts = known.groupBy("lang", "bin").agg(F.count_if("toxic").alias("p"), F.count_if(~F.col("toxic")).alias("n"))
+    counts = counts.select(F.explode(F.array(own, F.struct(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every")))).alias("k"), "bin", "p", "n")
+    counts = counts.groupBy("k.every", "k.lang", "bin").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))  # BINS + 1 a language
+    each = counts.groupBy("every", "lang").agg(F.sum("p").alias("ps"), F.sum("n").alias("ns"), F.collect_list(F.struct("bin", "p", "n")).alias("bins"))
+    each = each.where(F.col("every") | F.col("lang").isNotNull() & (F.col("ps") >= MIN_LANG) & (F.col("ns") >= MIN_LANG))
+    wrong = lambda cut: F.aggregate("bins", F.lit(0).cast("long"), lambda acc, b: acc + F.when(b["bin"] >= cut, b["n"]).otherwise(b["p"]))
+    cuts = F.transform(F.sequence(F.lit(LEAST), F.lit(MOST)), lambda c: F.struct(wrong(c).alias("wrong"), c.alias("cut")))
+    each = each.select("every", "lang", cuts.alias("cuts"))
+    best = F.filter("cuts", lambda c: c["wrong"] == F.array_min(F.transform("cuts", lambda x: x["wrong"])))
+    return each.select("every", "lang", best.alias("best")).select("every", "lang", (F.element_at("best", (F.size("best") / 2 + 0.5).cast("int"))["cut"] / float(BINS)).alias("threshold"))
+
+
+def flagged(scored: DataFrame, bounds: DataFrame, lang: str = "lang", score: str = "score", name: str = "flagged") -> DataFrame:
+    """scored with `name`: whether the score reaches the threshold of the row's language, else of all; false without any."""
+    taken = scored.columns
+    a, b, c, d = (free(x, taken) for x in ("own_lang", "own_threshold", "any_threshold", "_row"))
+    own = bounds.where("not every").select(F.col("lang").alias(a), F.col("threshold").alias(b))
+    every = bounds.where("every").select(F.col("threshold").alias(c), F.lit(1).alias(d))
+    out = scored.join(own, scored[lang] == own[a], "left").withColumn(d, F.lit(1)).join(F.broadcast(every), d, "left")  # one row
+    return out.select(*scored.columns, F.coalesce(scored[score] >= F.coalesce(b, c), F.lit(False)).alias(name))
 
 
 def held_out() -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
 
 
-def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Net | None:
-    return train(docs, table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic"))
+def learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
 
 
 def op8_conv_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    net = fitted(spark, docs, sf_dir)
-    scored = score(docs, net, carry=("doc_id", "lang"))
-    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), flagged(net).alias("flagged"))
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), learnable(spark, sf_dir)
+    net = train(docs, labels)
+    scored = written(score(docs, net, carry=("doc_id", "lang")), "scores")
+    out = flagged(scored, thresholds(scored, labels))
+    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "flagged")
