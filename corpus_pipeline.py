@@ -9,26 +9,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracksieve.llm import decontam, lines, neardup, packing, toxicity
-from tracksieve.llm.common import table, written
+from tracksieve.llm.common import discard, free, release, table, written
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """docs less the rows whose doc_id is rejected."""
-    return docs.join(rejected.select(F.col("doc_id").alias("_rejected")).distinct(), F.col("doc_id") == F.col("_rejected"), "left_anti")
+    key = free("rejected_id", docs.columns)
+    gone = rejected.select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[key], "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose score reaches the threshold of their language."""
-    net = toxicity.fitted(spark, docs, sf_dir)
-    return toxicity.score(docs, net, carry=tuple(docs.columns)).where(~toxicity.flagged(net)).select(*docs.columns)
+    """Rejects documents whose score reaches the threshold of their language. The texts are scored once: the scored
+    documents are a written stage."""
+    labels, score, flag = toxicity.learnable(spark, sf_dir), free("score", docs.columns), free("flagged", docs.columns)
+    net = toxicity.train(docs.select("doc_id", "text"), labels)
+    scored = written(toxicity.score(docs, net, carry=tuple(docs.columns)), "scored")
+    bounds = toxicity.thresholds(scored.select("doc_id", "lang", F.col(score).alias("score")), labels)
+    return toxicity.flagged(scored, bounds, score=score, name=flag).where(~F.col(flag)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines that an earlier one repeats, and documents of which nothing else is left; n_chars follows."""
+    count = free("n_lines_dropped", docs.columns)
     out = lines.dedup(docs)
-    emptied = (F.col("n_lines_dropped") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
-    chars = F.when(F.col("n_lines_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return out.where(~emptied | F.col("text").isNull()).withColumn("n_chars", chars).select(*docs.columns)
+    emptied = (F.col(count) > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
+    chars = F.when(F.col(count) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.where(~emptied | F.col("text").isNull()).withColumn("n_chars", chars).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,5 +72,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs, before = written(stage(spark, docs, sf_dir), name), docs
+        discard(before)
+        release(spark)
     return docs
