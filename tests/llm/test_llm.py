@@ -295,13 +295,45 @@ def test_proximity_and_odd_texts(spark, odd, nothing):
     docs = spark.createDataFrame([(1, "x a b c d y"), (2, "a x b c d"), (3, "d c b a"), (4, "a b c")], "doc_id long, text string")
     items = spark.createDataFrame([("i", "a b c d")], "item_id string, text string")
     runs, texts = decontam.windows(items, 4), decontam.keyed(docs)
-    exact = {(r["doc_id"], r["start"]) for r in decontam.matches(texts, runs, 0, 4).collect()}
-    near = {r["doc_id"] for r in decontam.matches(texts, runs, 1, 4).collect()}
+    exact = {(r["doc_id"], r["start"]) for r in decontam.matches(texts, runs, 0, 4).join(texts, decontam.KEY).collect()}
+    near = {r["doc_id"] for r in decontam.matches(texts, runs, 1, 4).join(texts, decontam.KEY).collect()}
     assert exact == {(1, 1)} and near == {1, 2, 3}
     assert decontam.contamination(odd, items).where("contaminated").count() == 0 and decontam.contamination(odd, items).count() == len(ODD)
     assert decontam.contamination(nothing, items).count() == 0
 
 
+@pytest.mark.parametrize("slop", [0, 1, 3])
+def test_phrases_and_proximity_against_brute_force(spark, slop):
+    rng = random.Random(slop)
+    texts = [" ".join(rng.choice("aabbccddefg") for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    tests = [" ".join(rng.choice("abcdefg") for _ in range(n)) for n in (1, 2, 3, 4, 5, 5)]
+    docs = spark.createDataFrame([*enumerate(texts), (3, texts[3]), (None, texts[4]), (70, None)], "doc_id long, text string")
+    items = spark.createDataFrame([*enumerate(tests), (9, ""), (10, None)], "item_id long, text string")
+    runs, read = decontam.windows(items, 4), decontam.keyed(docs)
+    want = set()
+    for i, text in [*enumerate(texts), (None, texts[4])]:
+        own = text.split()
+        for test in tests:
+            words = test.split()
+            for w in [words[k : k + 4] for k in range(max(len(words) - 3, 1))]:
+                span = len(w) + slop
+                near = any(not Counter(w) - Counter(own[b : b + span]) for b in range(len(own)))
+                if near if slop else any(own[b : b + len(w)] == w for b in range(len(own))):
+                    want.add((i, " ".join(w)))
+    with settings(spark, **SPLIT | {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        got = decontam.matches(read, runs, slop, 4).join(read, decontam.KEY).join(runs, "window_id")
+        assert {(r["doc_id"], " ".join(r["window"])) for r in got.collect()} == want
+
+
+def test_contamination_of_null_ids_and_repeated_rows(spark):
+    words = [f"w{i}" for i in range(14)]
+    rows = [(None, "x " + " ".join(words[:12]), "a"), (1, " ".join(words), "b"), (1, " ".join(words), "b"), (1, "other text", "c"), (2, " ".join(words[:9]), "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, words string")
+    items = spark.createDataFrame([("q", " ".join(words)), ("q", " ".join(words)), ("r", "w3")], "item_id string, text string")
+    got = sorted((r["doc_id"] or 0, r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in decontam.contamination(docs, items).collect())
+    assert got == [(0, 13, 12, ["q", "r"], True), (1, 2, 0, [], False), (1, 14, 14, ["q", "r"], True), (1, 14, 14, ["q", "r"], True), (2, 9, 1, ["r"], True)]
+
+
 def test_lines_odd_texts_and_text_out(spark, odd, nothing):
     line = "one two three four five six seven eight nine"
     rows = [(1, f"{line}\nshort", "a"), (2, f"{line.upper()}\nkeep", "b"), (3, line.replace("four", "FOUR!"), "c"), (4, line + " ten", "d"), (5, line + " ten eleven", "e"), (6, None, "f")]

@@ -1,13 +1,18 @@
 """Operator 6, benchmark decontamination by a distributed positional inverted index, in DataFrame functions only.
 
-Training tokens are posted as (term, document, position, the words around) for the terms that benchmark windows need:
-of each window its two rarest terms by corpus count. A window's offset-adjusted lists are intersected from its rarest
-term on; what is left is compared word by word with the posting's neighbourhood. Exact phrases (slop 0) are windows
-whose words follow each other; proximity matches (slop > 0) have all words within the window's length plus slop.
-
-Null texts have no words. A document is a distinct (doc_id, text): repeated rows get equal results. An item without
-words has no window. Empty tables give empty results or no hits. Other columns are ignored. Test tables are broadcast
-only if a count finds at most MAX_BROADCAST windows; beyond that the same joins shuffle.
+Training texts are tokenized once, into a written table. Its tokens are posted as (term, document, position) for the
+terms that benchmark windows need: of each window its two rarest terms by corpus count. A window's offset-adjusted lists
+are intersected from its rarest term on; the places that are left are read in the tokenized documents and compared word
+by word, which stands for the window's other lists. Exact phrases (slop 0) are windows whose words follow each other;
+proximity matches (slop > 0) have all words, with repeats, within the window's length plus slop.
+
+Postings carry no text: what a token takes along is a 16-byte document key and its position. Spark broadcasts terms,
+windows and places under its own threshold, and shuffles them beyond it.
+
+Null texts have no words; very long ones are read whole. A document is a distinct (doc_id, text), null ids included:
+repeated rows get equal results. An item without words has no window; repeated items are one. Ties between terms of
+equal counts go to the earlier place in the window. Empty tables give empty results or no hits. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,11 +22,11 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import discard, release, table, written
 
 WINDOW = 10
-MAX_BROADCAST = 200_000  # windows, each of ten words and a few numbers: under 100 MB
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+KEY = ["k1", "k2"]
 
 
 def words(text: Column) -> Column:
@@ -31,7 +36,9 @@ def words(text: Column) -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("words"))
+    """(doc_id, k1, k2, words), written: the tokenized documents, with 128 bits that stand for (doc_id, text)."""
+    key = [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("k2")]
+    return written(docs.select("doc_id", *key, words(F.col("text")).alias("words")), "tokens")
 
 
 def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -42,16 +49,10 @@ def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     return runs.withColumn("window_id", F.xxhash64("window"))
 
 
-def sized(df: DataFrame, rows: int) -> DataFrame:
-    """df as a broadcast if its counted rows allow."""
-    return F.broadcast(df) if rows <= MAX_BROADCAST else df
-
-
-def term_counts(docs: DataFrame, runs: DataFrame, rows: int) -> DataFrame:
+def term_counts(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """(term, n): corpus count of each window term (terms that don't occur are absent)."""
-    terms = runs.select(F.explode("window").alias("term")).distinct()
-    tokens = docs.select(F.explode("words").alias("term"))
-    return tokens.join(sized(terms, rows), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
+    terms = written(runs.select(F.explode("window").alias("term")).distinct(), "terms")
+    return docs.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n")).join(terms, "term", "left_semi")
 
 
 def anchors(runs: DataFrame, counts: DataFrame) -> DataFrame:
@@ -65,57 +66,68 @@ def anchors(runs: DataFrame, counts: DataFrame) -> DataFrame:
     return out.select("window_id", "window", (F.col("r") + 1).alias("r"), "b.term", "b.off")
 
 
-def index(docs: DataFrame, terms: DataFrame, rows: int, reach: int) -> DataFrame:
-    """Postings (term, doc_id, text_key, pos, lo, around): around has the words from position lo on, `reach` on either
-    side. Stored in the shared folder, once, for all lists that are read from it."""
-    posted = docs.select("doc_id", "text_key", "words", F.posexplode("words").alias("pos", "term"))
-    posted = posted.join(sized(terms, rows), "term")
-    lo = F.greatest(F.col("pos") - reach, F.lit(0))
-    around = F.when(F.col("rarest"), F.slice("words", lo + 1, F.col("pos") - lo + reach + 1))
-    return written(posted.select("term", "doc_id", "text_key", "pos", lo.alias("lo"), around.alias("around")), "postings")
+def index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings (term, k1, k2, pos), in the shared folder, once, for all lists that are read from it."""
+    tokens = docs.select(*KEY, F.posexplode("words").alias("pos", "term"))
+    return written(tokens.join(terms, "term", "left_semi"), "postings")
 
 
 def matches(docs: DataFrame, runs: DataFrame, slop: int = 0, size: int = WINDOW) -> DataFrame:
-    """(doc_id, text_key, window_id, start, length): every exact occurrence, or with slop > 0 every place where all
-    words of a window lie within its length + slop of each other around its rarest term (start and length: that span).
+    """(k1, k2, window_id, start, length): every exact occurrence, or with slop > 0 every place where all words of a
+    window lie within its length + slop of each other around its rarest term (start and length: that span).
     docs: from keyed()."""
     runs = written(runs, "windows")
-    rows = runs.count()
-    chosen = written(anchors(runs, term_counts(docs, runs, rows)), "anchors")
-    terms = chosen.groupBy("term").agg(F.max(F.col("r") == 1).alias("rarest"))
-    posts = index(docs, terms, rows, size - 1 + slop)
-    first = chosen.where("r = 1").select("term", "window_id", "window", "off", F.size("window").alias("length"))
+    chosen = written(anchors(runs, term_counts(docs, runs)), "anchors")
+    terms = written(chosen.select("term").distinct(), "terms")
+    posts = index(docs, terms)
+    discard(terms)
+    length = F.size("window")
+    first = chosen.where("r = 1").select("term", "window_id", "off", length.alias("length"))
     second = chosen.where("r = 2").select("term", "window_id", "off")
-    one = posts.join(sized(first, rows), "term").withColumn("start", F.col("pos") - F.col("off"))
+    one = posts.join(first, "term")
+    two = posts.join(second, "term")
+    texts = chosen.where("r = 1").select("window_id", "window")
     if slop:
         span = F.col("length") + slop
-        lo = F.greatest(F.col("pos") - span + 1, F.lit(0)) - F.col("lo")
-        begins = F.sequence(lo, F.col("pos") - F.col("lo"))
-        need = F.size("window")
-        # All words, with repeats, inside some stretch of `span` words that has the posting.
-        fits = lambda b: F.size(F.array_distinct("window")) == F.size(F.array_distinct(F.filter("window", lambda w: F.size(F.filter(F.slice("around", b + 1, span), lambda x: x == w)) >= F.size(F.filter("window", lambda y: y == w)))))
-        found = one.withColumn("begin", F.filter(begins, fits)).where((F.size("begin") > 0) & (need > 0))
-        return found.select("doc_id", "text_key", "window_id", (F.element_at("begin", 1) + F.col("lo")).alias("start"), span.alias("length")).distinct()
-    one = one.where("start >= 0")
-    two = posts.select("term", "doc_id", "text_key", "pos").join(sized(second, rows), "term").select("doc_id", "text_key", "window_id", (F.col("pos") - F.col("off")).alias("start"))
-    both = one.where("length > 1").join(two.distinct(), ["doc_id", "text_key", "window_id", "start"], "left_semi")
-    kept = both.unionByName(one.where("length = 1").select(*both.columns))
-    exact = F.slice("around", F.greatest(F.col("start") - F.col("lo"), F.lit(0)) + 1, F.col("length")) == F.col("window")
-    return kept.where(exact).select("doc_id", "text_key", "window_id", "start", "length").distinct()
+        # Places of the second term within reach of one of the first's, by blocks of `span` words.
+        reach = F.explode(F.sequence(F.floor((F.col("pos") - span + 1) / span), F.floor((F.col("pos") + span - 1) / span)))
+        near = one.where("length > 1").distinct().withColumn("block", reach)
+        other = two.join(first.select("window_id", "length"), "window_id").select(*KEY, "window_id", F.floor(F.col("pos") / span).alias("block"), F.col("pos").alias("also")).distinct()
+        near = near.join(other, [*KEY, "window_id", "block"]).where((F.abs(F.col("also") - F.col("pos")) < span) & (F.col("also") != F.col("pos")))
+        cols = [*KEY, "window_id", "pos", "length"]
+        found = written(near.select(*cols).unionByName(one.where("length = 1").select(*cols)).distinct(), "places")
+        read = found.join(docs.select(*KEY, "words").join(found.select(*KEY).distinct(), KEY, "left_semi").dropDuplicates(KEY), KEY).join(texts, "window_id")
+        lo = F.greatest(F.col("pos") - span + 1, F.lit(0))
+        many = lambda list_, w: F.size(F.filter(list_, lambda x: x == w))
+        fits = lambda b: F.forall("window", lambda w: many(F.slice("words", b + 1, span), w) >= many("window", w))
+        begin = F.filter(F.sequence(lo, F.col("pos")), fits)
+        out = read.withColumn("begin", begin).where(F.size("begin") > 0)
+        return out.select(*KEY, "window_id", F.element_at("begin", 1).alias("start"), span.alias("length")).distinct()
+    start = (F.col("pos") - F.col("off")).alias("start")
+    one = one.select(*KEY, "window_id", start, "length").where("start >= 0")
+    both = one.where("length > 1").join(two.select(*KEY, "window_id", start), [*KEY, "window_id", "start"], "left_semi")
+    found = written(both.unionByName(one.where("length = 1").select(*both.columns)).distinct(), "places")
+    read = docs.select(*KEY, "words").join(written(found.select(*KEY).distinct(), "found"), KEY, "left_semi").dropDuplicates(KEY)
+    same = F.slice("words", F.col("start") + 1, F.col("length")) == F.col("window")
+    out = found.join(read, KEY).join(texts, "window_id").where(same).select(*KEY, "window_id", "start", "length").distinct()
+    out = written(out, "matches")
+    discard(posts, found)
+    return out
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Per row of docs (doc_id, text): n_words, n_hit, n_items, items (sorted as strings), contaminated."""
     runs = windows(items, size)
     texts = keyed(docs)
-    found = written(matches(texts, runs, 0, size), "matches")
-    hit = found.select("doc_id", "text_key", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("p")).distinct()
-    hit = hit.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_hit"))
-    pairs = found.select("doc_id", "text_key", "window_id").distinct().join(runs.select("window_id", "item_id"), "window_id")
-    named = pairs.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    both = hit.join(named, ["doc_id", "text_key"])
-    rows = texts.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"))
-    out = rows.join(both.withColumnRenamed("doc_id", "_d").withColumnRenamed("text_key", "_k"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
+    found = matches(texts, runs, 0, size)
+    release(docs.sparkSession)
+    hit = found.select(*KEY, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("p")).distinct()
+    hit = hit.groupBy(*KEY).agg(F.count("*").alias("n_hit"))
+    pairs = found.select(*KEY, "window_id").distinct().join(runs.select("window_id", "item_id"), "window_id")
+    named = pairs.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    told = written(hit.join(named, KEY), "told")
+    rows = texts.select("doc_id", *KEY, F.size("words").cast("long").alias("n_words"))
+    out = rows.join(told, KEY, "left")
     items_ = F.coalesce("items", F.array().cast("array<string>"))
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items_).cast("long").alias("n_items"), items_.alias("items"), F.col("n_hit").isNotNull().alias("contaminated"))
 
