@@ -1,43 +1,129 @@
-"""The pipeline's stages: what goes, what stays, and the columns in between."""
+"""The pipeline against a brute-force version of its stages, and odd tables through each stage."""
 
+import re
+from collections import defaultdict
+
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tracksieve.llm import neardup, packing, toxicity
+from tracksieve.llm import lines, packing, toxicity
 from tracksieve.llm.common import table, written
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_stages(spark):
-    docs = written(table(spark, SF, "documents"), "docs")
-    columns, seen = docs.columns, {}
-    for name, stage in corpus_pipeline.STAGES:
-        before = {r["doc_id"] for r in docs.select("doc_id").collect()}
-        docs = written(stage(spark, docs, SF), name)
-        seen[name] = docs
-        after = {r["doc_id"] for r in docs.select("doc_id").collect()}
-        assert after and after <= before
-        if name != "best_fit_packing":
-            assert docs.columns == columns
-    near = neardup.near_duplicates(seen["minhash_near_dedup"].select("doc_id", "text"), 5)
-    assert near.where("not kept").count() == 0
-    assert {r["doc_id"] for r in seen["best_fit_packing"].select("doc_id").collect()} == {r["doc_id"] for r in seen["benchmark_decontamination"].select("doc_id").collect()}
+def edits(a, b, most):
+    """Whether two lists of words are within so many insertions, deletions and substitutions."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        if min(row) > most:
+            return False
+    return row[-1] <= most
+
+
+def by_hand(texts, scores, flagged, bench):
+    """doc_id -> text of the documents that reach packing."""
+    texts = {i: t for i, t in texts.items() if not flagged(scores[i], i)}
+    kept, near, out = {}, [], {}
+    split = lambda line: re.sub("[A-Z]", lambda m: m[0].lower(), line).split()
+    for i in sorted(texts):
+        left = []
+        for line in (texts[i] or "").split("\n"):
+            words = split(line)
+            if words:
+                if tuple(words) in kept:
+                    continue
+                kept[tuple(words)] = i
+                if len(words) >= lines.MIN_NEAR:
+                    two = len(words) >= lines.TWO_EDITS
+                    if any(edits(words, w, 2 if two and len(w) >= lines.TWO_EDITS else 1) for w in near if abs(len(w) - len(words)) <= 2):
+                        near.append(words)
+                        continue
+                    near.append(words)
+            left.append(line)
+        text = "\n".join(left)
+        if texts[i] is None or text == texts[i] or text.strip():
+            out[i] = texts[i] if texts[i] is None else text
+    sets = {}
+    for i, t in out.items():
+        w = split(t or "")
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if w else set()
+    of = {i: i for i in out}
+    for _ in range(len(of)):
+        before = dict(of)
+        for a in of:
+            for b in of:
+                if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b]):
+                    of[a] = of[b] = min(of[a], of[b])
+        if of == before:
+            break
+    out = {i: t for i, t in out.items() if of[i] == i}
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = {tuple(w[k : k + 10]) for t in bench if (w := words(t)) for k in range(max(len(w) - 9, 1))}
+    hit = lambda w: any(tuple(w[k : k + n]) in windows for n in {len(x) for x in windows} for k in range(len(w) - n + 1))
+    return {i: t for i, t in out.items() if not hit(words(t))}
+
+
+def test_run_against_brute_force(spark):
+    rows = {r["doc_id"]: r for r in table(spark, SF, "documents").collect()}
+    docs, labels = table(spark, SF, "documents"), toxicity.learnable(spark, SF)
+    net = toxicity.train(docs.select("doc_id", "text"), labels)  # fitted again: the same sample gives the same weights
+    read = lambda t: toxicity.word_ids(pa.array([t], pa.string()))
+    scores = {i: float(net.score(*read(r["text"]))[0]) if net else 0.0 for i, r in rows.items()}
+    bounds = {r["lang"]: r["threshold"] for r in toxicity.thresholds(spark.createDataFrame([(i, r["lang"], scores[i]) for i, r in rows.items()], "doc_id long, lang string, score double"), labels).collect()}
+    flagged = lambda score, i: bool(bounds) and score >= bounds.get(rows[i]["lang"], bounds[None])
+    bench = [r["text"] for r in table(spark, SF, "benchmark").collect()]
+    want = by_hand({i: r["text"] for i, r in rows.items()}, scores, flagged, bench)
+    packed = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"] for r in packed} == set(want) and len(want) < len(rows)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces, held = defaultdict(dict), defaultdict(list)
+    for r in packed:
+        pieces[r["doc_id"]][r["start"]] = r["ids"]
+        held[r["sequence_id"]].append((r["offset"], r["length"]))
+    for i, text in want.items():
+        assert [x for _, own in sorted(pieces[i].items()) for x in own] == [*library.encode(text or "", add_special_tokens=False).ids, 0]
+    for parts in held.values():
+        parts.sort()
+        assert [a for a, _ in parts] == np.cumsum([0, *[n for _, n in parts]])[:-1].tolist() and sum(n for _, n in parts) <= packing.CAPACITY
 
 
-def test_null_ids_and_empty_tables_pass(spark):
+CLASH = "score string, flagged string, n_lines_dropped long, drop_key string, rejected_id long, text_ string, words string, k1 long"
+
+
+def odd_documents(spark):
+    """Nulls, repeated rows and ids, a very long text, and columns with the names that the stages use."""
     docs = table(spark, SF, "documents")
-    odd = spark.createDataFrame([(None, "some text here", None, None, None)], docs.schema)
-    for name, stage in corpus_pipeline.STAGES[:4]:
-        assert stage(spark, odd, SF).count() == 1, name
-    assert corpus_pipeline.drop_repeated_lines(spark, docs.limit(0), SF).count() == 0
-    assert toxicity.score(docs.limit(0), None).count() == 0
+    texts = [(None, "some text here"), (None, None), (7, None), (8, ""), (9, "one document, twice"), (9, "one document, twice"), (10, "\n".join(f"line {i} of a very long text with many lines" for i in range(3000)))]
+    rows = [(i, t, None, None, None, "s", "f", 3, "d", 1, "t", "w", 5) for i, t in texts]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
+    return spark.createDataFrame(rows, f"{kinds}, {CLASH}")
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES[:4])
+def test_odd_and_empty_tables_pass(spark, name, stage):
+    odd = odd_documents(spark)
+    out = stage(spark, odd, SF)
+    assert out.columns == odd.columns
+    kept = out.collect()
+    assert {r["doc_id"] for r in kept} == {None, 7, 8, 9, 10} and sum(r["doc_id"] is None for r in kept) == 2
+    assert all((r["score"], r["flagged"], r["n_lines_dropped"], r["k1"]) == ("s", "f", 3, 5) for r in kept)
+    empty = stage(spark, odd.limit(0), SF)
+    assert empty.columns == odd.columns and empty.count() == 0
 
 
 def test_packed_sequences_hold_their_tokens(spark):
     rows = [(i, f"Text {i} " + "of words " * (i * 150)) for i in range(8)]
-    packed = corpus_pipeline.pack_sequences(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    packed = corpus_pipeline.pack_sequences(spark, written(spark.createDataFrame(rows, "doc_id long, text string"), "docs"), SF).collect()
     read = packing.words_of(public_tokenizers.path("word_bpe_49k.json"))
     ids, bounds = read.encode(pa.array([t for _, t in rows]))
     sequences, documents = {}, {}
@@ -48,3 +134,4 @@ def test_packed_sequences_hold_their_tokens(spark):
     assert max(map(len, sequences.values())) <= 2048 < sum(map(len, sequences.values()))
     for (doc, _), a, b in zip(rows, bounds, bounds[1:]):
         assert [x for _, own in sorted(documents[doc].items()) for x in own] == [*ids[a:b].tolist(), 0]
+    assert corpus_pipeline.pack_sequences(spark, spark.createDataFrame([], "doc_id long, text string"), SF).count() == 0

@@ -1,16 +1,20 @@
 """Operator 4, secret scans with an incremental ledger of content-addressed blobs.
 
-Every text version is addressed by its SHA-256. The ledger has, for each blob, the rule versions that have scanned it
-and what they found. A scan takes the versions' distinct blobs, leaves out blob and rule-version pairs the ledger has,
-runs the rest of the rules over whole texts, appends to the ledger, and joins the findings back to every path.
-
-Null texts are empty (no finding). Repeated rows share a blob and each get its findings. Copies of one blob are merged
-before the shuffle (map-side), so a frequent text doesn't gather in one task. An empty table gives an empty result.
+Every text version is addressed by its SHA-256. The ledger is a folder of Parquet files that has, for each blob, the
+rule versions that have scanned it and what they found. `scan` takes the distinct blobs of some versions, leaves out the
+blob and rule-version pairs that the ledger has, runs the rest of the rules over whole texts and appends what it found;
+a scan that fails appends nothing and can be run again. `findings` joins the ledger back to every path.
+
+Null texts are empty (no finding). Very long texts are scanned whole. Repeated rows share a blob and each get its
+findings; copies of one blob are merged before the shuffle (map-side), so a frequent text doesn't gather in one task.
+Spans that begin at one place (ties) come in the order of the kinds. An empty table gives an empty result and leaves an
+empty ledger. Other columns are kept; those of the operator get an underscore where versions have their names.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -18,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, table, written
+from ..sources.tables import cached
+from .common import arrow_map, free, shared_dir, table
 from .textvec import batches_of
 
 Finder = Callable[[str], list[tuple[int, int]]]
@@ -49,8 +54,13 @@ def named(rules: dict[str, tuple[int, Finder]]) -> dict[str, str]:
     return {kind: f"{kind}@{version}" for kind, (version, _) in rules.items()}
 
 
-def addressed(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.withColumn(text, F.coalesce(F.col(text), F.lit(""))).withColumn("blob_id", F.unhex(F.sha2(F.col(text), 256)))
+def address(text: str = "text"):
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
+def blobs_of(versions: DataFrame, text: str = "text") -> DataFrame:
+    """(blob_id, text): the distinct texts."""
+    return versions.select(address(text).alias("blob_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).groupBy("blob_id").agg(F.first("text").alias("text"))
 
 
 def unseen(blobs: DataFrame, ledger: DataFrame | None, rules: dict[str, tuple[int, Finder]] = RULES) -> DataFrame:
@@ -60,7 +70,7 @@ def unseen(blobs: DataFrame, ledger: DataFrame | None, rules: dict[str, tuple[in
         return blobs.withColumn("todo", every)
     seen = ledger.select("blob_id", F.explode("rules").alias("rule")).groupBy("blob_id").agg(F.collect_set("rule").alias("seen"))
     out = blobs.join(seen, "blob_id", "left").withColumn("todo", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))))
-    return out.where(F.size("todo") > 0).drop("seen")
+    return out.where(F.size("todo") > 0).select("blob_id", "text", "todo")
 
 
 def scan_blobs(todo: DataFrame, rules: dict[str, tuple[int, Finder]] = RULES) -> DataFrame:
@@ -82,20 +92,25 @@ def scan_blobs(todo: DataFrame, rules: dict[str, tuple[int, Finder]] = RULES) ->
     return arrow_map(todo.select("blob_id", "text", "todo"), run, LEDGER)
 
 
-def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: dict[str, tuple[int, Finder]] = RULES) -> tuple[DataFrame, DataFrame]:
-    """(paths with their spans, the grown ledger) for versions with a text column; other columns are the path."""
-    at = addressed(versions)
-    blobs = at.groupBy("blob_id").agg(F.first("text").alias("text"))
-    new = written(scan_blobs(unseen(blobs, ledger, rules), rules), "ledger")
-    grown = new if ledger is None else ledger.unionByName(new)
-    current = F.array(*[F.lit(n) for n in named(rules).values()])
-    own = grown.where(F.arrays_overlap("rules", current))
-    if ledger is not None:  # scans of one blob at different times, without spans of older rule versions
-        kinds = F.create_map(*[x for kind, name in named(rules).items() for x in (F.lit(kind), F.lit(name))])
-        own = own.withColumn("spans", F.filter("spans", lambda s: F.array_contains("rules", kinds[s["kind"]])))
-        own = own.groupBy("blob_id").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    paths = at.drop("text").join(own.select("blob_id", "spans"), "blob_id", "left")
-    return paths, grown
+def scan(versions: DataFrame, ledger: str, rules: dict[str, tuple[int, Finder]] = RULES, text: str = "text") -> None:
+    """Scans what the ledger in that folder hasn't seen of the versions' texts, and appends it there."""
+    known = cached(versions.sparkSession, ledger)
+    scan_blobs(unseen(blobs_of(versions, text), known, rules), rules).write.mode("append").parquet(ledger)
+
+
+def findings(versions: DataFrame, ledger: str, rules: dict[str, tuple[int, Finder]] = RULES, text: str = "text") -> DataFrame:
+    """Every row of versions, without its text, with `blob_id` and `spans` (start, rank, kind, end) of the current rules."""
+    paths = [c for c in versions.columns if c != text]
+    blob, spans = free("blob_id", paths), free("spans", paths)
+    current = named(rules)
+    kinds = F.create_map(*[x for kind, name in current.items() for x in (F.lit(kind), F.lit(name))])
+    # Scans of one blob at different times, without spans of older rule versions.
+    own = versions.sparkSession.read.schema(LEDGER).parquet(ledger).where(F.size("spans") > 0)
+    own = own.select("blob_id", F.filter("spans", lambda s: F.array_contains("rules", kinds[s["kind"]])).alias("spans"))
+    own = own.groupBy("blob_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("found")).withColumnRenamed("blob_id", "_blob")
+    at = versions.withColumn(blob, address(text)).select(*[F.col(f"`{c}`") for c in paths], blob)
+    out = at.join(own, at[blob] == own["_blob"], "left")
+    return out.select(*[at[f"`{c}`"] for c in paths], blob, F.coalesce("found", F.array().cast(T.ArrayType(SPAN))).alias(spans))
 
 
 def joined(spans) -> F.Column:
@@ -103,7 +118,13 @@ def joined(spans) -> F.Column:
 
 
 def op4_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths, _ = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Two increments into a ledger of the query's own: half of the documents, then the others, of which only texts that
+    the first one didn't have are scanned."""
+    docs, ledger = table(spark, sf_dir, "documents").select("doc_id", "text"), f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    late = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 1, F.lit(False))
+    for increment in (docs.where(~late), docs.where(late)):
+        scan(increment, ledger)
+    paths = findings(docs, ledger)
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return paths.select("doc_id", *map(count, BASE), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

@@ -7,9 +7,11 @@ before the last edit or regeneration are dropped; then a conversation's messages
     <|im_start|>{role}\n{text}<|im_end|>\n
 
 Inside texts and roles `\` becomes `\\` and `<|` becomes `<\|`; in roles a line feed becomes `\n` (two characters). So
-control strings occur at turn marks only, and the escapes can be undone. Null roles and texts are empty. Events that
-tie in seq are taken in order of kind and text; repeated messages are separate turns if their message_id differs.
-Null conv_ids are one conversation. An empty log gives an empty result. The fold needs one conversation, as its digest does, never more, in one task.
+control strings occur at turn marks only, and the escapes can be undone. Null roles and texts are empty; very long texts
+are streamed in many deltas. Events that tie in seq are taken in order of kind and text; repeated messages are separate
+turns if their message_id differs. Null conv_ids are one conversation. An empty log gives an empty result. Other columns
+are ignored, whatever their names. Messages are folded and rendered one by one, and a conversation's places are a running
+sum; only its finished text, which is one value, needs one conversation, never more, in one task.
 """
 
 from __future__ import annotations
@@ -37,8 +39,9 @@ def escaped_role(role: Column) -> Column:
 
 
 def unescaped_role(role: Column) -> Column:
-    marked = F.regexp_replace(role, r"\\([\\|n])", "\u0001$1")  # no pair is read twice
-    return F.replace(F.regexp_replace(marked, "\u0001([\\\\|])", "$1"), F.lit("\u0001n"), F.lit("\n"))
+    # Parted at escaped backslashes, from the left, each backslash left begins one of the other escapes.
+    parts = F.split(role, r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\|"), F.lit("|")), F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def _same(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -64,23 +67,15 @@ def folded(log: DataFrame) -> DataFrame:
 
 def rendered(messages: DataFrame) -> DataFrame:
     """(conv_id, formatted, loss): loss has (start, length) in characters of each assistant text in `formatted`."""
-    turn = F.concat(F.lit(OPEN), escaped_role(F.col("role")), F.lit("\n"), escaped(F.col("text")), F.lit(CLOSE))
-    head = F.length(F.concat(F.lit(OPEN), escaped_role(F.col("role")), F.lit("\n")))
-    one = messages.select("conv_id", F.struct("first_seq", "message_id", turn.alias("turn"), (F.col("role") == "assistant").alias("learn"), head.alias("head")).alias("t"))
-    grouped = one.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    size = F.transform("ts", lambda t: F.length(t["turn"]).cast("long"))
-    spans = F.aggregate(
-        F.arrays_zip("ts", size.alias("n")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["n"]).alias("at"),
-            F.when(
-                x["ts"]["learn"],
-                F.concat(acc["spans"], F.array(F.struct((acc["at"] + x["ts"]["head"]).alias("start"), (x["n"] - x["ts"]["head"] - len(CLOSE)).alias("length")))),
-            ).otherwise(acc["spans"]).alias("spans"),
-        ),
-    )
-    return grouped.select("conv_id", F.array_join(F.transform("ts", lambda t: t["turn"]), "").alias("formatted"), spans["spans"].alias("loss"))
+    open_ = F.concat(F.lit(OPEN), escaped_role(F.col("role")), F.lit("\n"))
+    one = messages.select("conv_id", "first_seq", "message_id", F.concat(open_, escaped(F.col("text")), F.lit(CLOSE)).alias("turn"), (F.col("role") == "assistant").alias("learn"), F.length(open_).cast("long").alias("head"))
+    size = F.length("turn").cast("long")
+    before = F.sum(size).over(Window.partitionBy("conv_id").orderBy("first_seq", "message_id").rowsBetween(Window.unboundedPreceding, 0)) - size
+    span = F.struct((before + F.col("head")).alias("start"), (size - F.col("head") - len(CLOSE)).alias("length"))
+    placed = one.select("conv_id", F.struct("first_seq", "message_id", "turn", F.when(F.col("learn"), span).alias("span")).alias("t"))
+    grouped = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    spans = F.array_compact(F.transform("ts", lambda t: t["span"]))
+    return grouped.select("conv_id", F.array_join(F.transform("ts", lambda t: t["turn"]), "").alias("formatted"), spans.alias("loss"))
 
 
 def reread(formatted: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,7 @@ from ..operators.graph import star_components as components  # noqa: F401
 from ..plans.stages import discard, release, shared_dir, ship, written  # noqa: F401
 
 #: Rows and bytes of one Arrow batch between the JVM and a Python worker, where the session sets none.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,16 @@ def free(name: str, columns: list[str]) -> str:
     return name
 
 
+def give_back() -> None:
+    """Returns freed memory of this worker to the system: workers are kept for later tasks, and what an earlier one has
+    freed would stay theirs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def arrow_map(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
@@ -38,4 +49,9 @@ def arrow_map(
     for key, value in (("maxRecordsPerBatch", str(BATCH_ROWS)), ("maxBytesPerBatch", str(BATCH_BYTES))):
         if not conf._jconf.contains(f"spark.sql.execution.arrow.{key}"):
             conf.set(f"spark.sql.execution.arrow.{key}", value)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)

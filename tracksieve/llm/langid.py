@@ -3,10 +3,12 @@
 The kernel of two texts is a blend over n = 1, 2, 3 of |shared n-grams| / sqrt(|n-grams of one| |of the other|),
 by presence, over letters in lower case with white space between words (n-grams are hashed into a fixed number of
 buckets for each n). Nyström landmarks turn it into features, one-versus-rest kernel ridge regression into scores;
-scoring a batch is two matrix products. Fitted on at most SAMPLE labelled rows, dealt evenly over the languages.
+scoring a batch is two matrix products. Fitted on at most SAMPLE labelled rows, or LEAST for each language where that is
+more, dealt evenly over all languages that labels have; each has landmarks of its own.
 
-A text that is null or has no letter is `und` with score 0. Repeated rows get equal results; an empty table, or one
-without labelled rows, gives `und` for all.
+A text that is null or has no letter is `und` with score 0. Very long texts are read whole. Languages that tie go to the
+first by name. Repeated rows get equal results; an empty table, or one without labelled rows, gives `und` for all. Other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,17 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, table
 from .textvec import batches_of, buffers, mix
 from .tokens import LETTERS, classes
 
-SAMPLE, LANDMARKS, RIDGE = 3000, 160, 1e-3
+SAMPLE, LEAST, LANDMARKS, RIDGE = 3000, 16, 160, 1e-3
 BUCKETS = (512, 3584, 4096)  # for n = 1, 2, 3
 WEIGHTS = (0.2, 0.4, 0.4)
-MOST_LANGS = 200  # languages that the fit tells apart, the most frequent first
+OWN_MARKS = 4  # landmarks of a language at least, where it has as many rows
 
 
 def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +85,7 @@ def fit(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: f
     order = np.concatenate([np.stack([np.arange(c) for c in np.bincount(y)[[k]]]).reshape(-1) for k in range(len(names))]) if len(y) else y
     turn = np.empty(len(y), int)
     turn[np.argsort(y, kind="stable")] = order
-    chosen = np.lexsort((y, turn))[:landmarks]  # in turn from each language
+    chosen = np.lexsort((y, turn))[: max(landmarks, OWN_MARKS * len(names))]  # in turn from each language
     marks = x[chosen]
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
     good = values > 1e-6 * values.max()
@@ -97,13 +99,14 @@ def fit(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: f
     return Model(names, marks.T.copy(), (root @ beta).astype(np.float32), (center - mean @ beta).astype(np.float32))
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Fit on (doc_id, text, lang) rows: at most `sample` of them, by hash of doc_id, evenly over the languages."""
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
+def train(labelled: DataFrame, sample: int = SAMPLE, least: int = LEAST) -> Model | None:
+    """Fit on (doc_id, text, lang) rows: by hash of doc_id, as many of each language, `sample` in all or `least` each."""
+    counts = labelled.groupBy("lang").count().collect()  # a row a language
     if not counts:
         return None
-    each = max(1, sample // len(counts))
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(1.0, 1.3 * each / r[1]))])
+    each = max(least, sample // len(counts))
+    # Rather more than that many, so that few are read; the first `each` by hash are taken.
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(1.0, 1.5 * each / r[1]))])
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     rows = labelled.where(unit < F.coalesce(F.element_at(share, F.col("lang")), F.lit(0.0)))
     rows = rows.withColumn("_h", F.xxhash64("doc_id"))
@@ -115,7 +118,8 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
             yield pa.record_batch([batch.column(0), batch.column(2), packed], ["_h", "lang", "bits"])
 
     found = arrow_map(rows.select("_h", "text", "lang"), run, "_h long, lang string, bits binary").where("bits is not null")
-    got = found.orderBy("_h", "lang", "bits").limit(sample).collect()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "bits"))
+    got = sorted(found.withColumn("_r", rank).where(F.col("_r") <= each).select("_h", "lang", "bits").collect())
     if not got:
         return None
     bits = np.unpackbits(np.frombuffer(b"".join(r[2] for r in got), np.uint8).reshape(len(got), -1), axis=1, count=sum(BUCKETS))

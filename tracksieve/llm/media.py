@@ -1,9 +1,14 @@
 """Operator 1, media columns: Matroska files as binary columns, parsed into packet tables.
 
 `parse` walks variable-length EBML elements (known and unknown sizes), clusters, simple blocks and block groups,
-all three lacings and the cues, and gives one packet per frame with track, timestamp and byte range. `mux` writes
-payloads losslessly as 8-bit PCM. Nulls are empty texts; a truncated or foreign file gives the packets found
-before the damage and its `error`. Repeated rows give repeated results; other columns are ignored.
+all three lacings and the cues, and gives one packet per frame with track, timestamp and byte range; frames of a lace
+follow each other by the track's default duration. An element of unknown size ends where one begins that can't be its
+child, at the latest with its parent; a child that reaches beyond its parent is an error. `mux` writes payloads
+losslessly as 8-bit PCM.
+
+Nulls are empty texts; very long ones are files of many clusters, read in one pass. A truncated or foreign file gives
+the packets found before the damage and its `error`. Equal texts give equal files (ties), repeated rows repeated
+results, an empty table an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,9 +27,13 @@ from .textvec import batches_of
 
 # Element ids of the Matroska format.
 EBML, SEGMENT, INFO, SCALE = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x2AD7B1
-TRACKS, TRACK_ENTRY, TRACK_NUMBER, CODEC = 0x1654AE6B, 0xAE, 0xD7, 0x86
+TRACKS, TRACK_ENTRY, TRACK_NUMBER, CODEC, DURATION = 0x1654AE6B, 0xAE, 0xD7, 0x86, 0x23E383
 CLUSTER, TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, REFERENCE = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1, 0xFB
 CUES, CUE_POINT, CUE_TIME, CUE_POSITIONS, CUE_TRACK, CUE_CLUSTER = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
+SEEK_HEAD, CHAPTERS, TAGS, ATTACHMENTS, VOID, CRC = 0x114D9B74, 0x1043A770, 0x1254C367, 0x1941A469, 0xEC, 0xBF
+CLUSTER_PARTS = (TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, 0xA7, 0xAB, 0x5854, 0xAF)  # also position, previous size, silent tracks, encrypted block
+GROUP_PARTS = (BLOCK, REFERENCE, 0x9B, 0xFA, 0xFD, 0xA4, 0x75A1, 0x75A2, 0x8E, 0xA2)
+TOP, SEGMENT_PARTS = (EBML, SEGMENT), (INFO, TRACKS, CLUSTER, CUES, SEEK_HEAD, CHAPTERS, TAGS, ATTACHMENTS)
 
 RATE = 8000  # samples a second of a written payload
 SCALE_NS = 1_000_000_000 // RATE  # so that a tick is a sample
@@ -37,6 +46,7 @@ class Media:
     clusters: list[tuple[int, int]] = field(default_factory=list)  # ticks, offset in the segment
     cues: list[tuple[int, int, int]] = field(default_factory=list)  # ticks, track, cluster offset
     codecs: dict[int, str] = field(default_factory=dict)
+    durations: dict[int, int] = field(default_factory=dict)  # of a track's frames, in ns
     scale: int = 1_000_000
     error: str | None = None
 
@@ -92,86 +102,139 @@ def _block(data: bytes, lo: int, hi: int, base: int, media: Media, key: bool | N
     if min(sizes) < 0:
         raise ValueError(f"bad lacing at {lo}")
     ns = (base + offset) * media.scale
-    for size in sizes:
-        media.packets.append((track, ns, at, size, bool(flags & 0x80) if key is None else key))
+    for k, size in enumerate(sizes):
+        media.packets.append((track, ns + k * media.durations.get(track, 0), at, size, bool(flags & 0x80) if key is None else key))
         at += size
 
 
 def parse(data: bytes) -> Media:
-    """All packets of a file. An element of unknown size ends where the next element of its own level begins."""
+    """All packets of a file, and its error if it has one."""
     media = Media()
     try:
-        _walk(data, 0, len(data), media, {"base": 0, "segment": 0})
+        _top(data, media)
     except (ValueError, IndexError, struct.error) as wrong:
         media.error = str(wrong)
     return media
 
 
-def _walk(data: bytes, at: int, end: int, media: Media, state: dict) -> None:
-    stack = [end]
+def _head(data: bytes, at: int, end: int) -> tuple[int, int, int]:
+    """(id, where the content begins, where it ends or -1 if that isn't known) of the element at a place."""
+    begin = at
+    name, at = read_id(data, at)
+    size, at, _ = read_vint(data, at)
+    if at > end or size >= 0 and at + size > end:
+        raise ValueError(f"element at {begin} is cut short")
+    return name, at, -1 if size < 0 else at + size
+
+
+def _skip(data: bytes, name: int, at: int, end: int) -> int:
+    """Where an element of unknown size ends that isn't read: at the next one of a level above its children's."""
+    while at < end:
+        inner, content, stop = _head(data, at, end)
+        if inner in TOP or name != SEGMENT and inner in SEGMENT_PARTS:
+            break
+        at = _skip(data, inner, content, end) if stop < 0 else stop
+    return at
+
+
+def _top(data: bytes, media: Media) -> None:
+    at = 0
+    while at < len(data):
+        name, content, stop = _head(data, at, len(data))
+        if name == SEGMENT:
+            at = _segment(data, content, stop if stop >= 0 else len(data), stop < 0, media)
+        else:
+            at = stop if stop >= 0 else _skip(data, name, content, len(data))
+
+
+def _segment(data: bytes, at: int, end: int, open_: bool, media: Media) -> int:
+    base = at
     while at < end:
         begin = at
-        element, at = read_id(data, at)
-        size, at, _ = read_vint(data, at)
-        stop = len(data) if size < 0 else at + size
-        if stop > len(data):
-            raise ValueError(f"element at {begin} is cut short")
-        if element == SEGMENT:
-            state["segment"] = at
-            continue  # its children follow in this same loop
-        if element == CLUSTER:
-            media.clusters.append((0, begin - state["segment"]))
+        name, content, stop = _head(data, at, end)
+        if open_ and name in TOP:
+            break
+        last = end if stop < 0 else stop
+        if name == CLUSTER:
+            at = _cluster(data, content, last, stop < 0, begin - base, media)
             continue
-        if element in (INFO, TRACKS, CUES, BLOCK_GROUP, TRACK_ENTRY, CUE_POINT, CUE_POSITIONS):
-            if element == BLOCK_GROUP:
-                _group(data, at, stop, media, state)
-            elif element == TRACK_ENTRY:
-                found = dict(_children(data, at, stop))
-                number = _unsigned(data, *found[TRACK_NUMBER]) if TRACK_NUMBER in found else 0
-                media.codecs[number] = bytes(data[slice(*found[CODEC])]).decode("ascii", "replace") if CODEC in found else ""
-            elif element == CUE_POINT:
-                _cue(data, at, stop, media)
-            else:
-                continue
-            at = stop
+        if name in (INFO, TRACKS, CUES):
+            if stop < 0:
+                last = _skip(data, name, content, end)
+            for child, lo, hi in _children(data, content, last):
+                if child == SCALE:
+                    media.scale = _unsigned(data, lo, hi)
+                elif child == TRACK_ENTRY:
+                    _track(data, lo, hi, media)
+                elif child == CUE_POINT:
+                    _cue(data, lo, hi, media)
+            at = last
+        else:
+            at = stop if stop >= 0 else _skip(data, name, content, end)
+    return at
+
+
+def _cluster(data: bytes, at: int, end: int, open_: bool, place: int, media: Media) -> int:
+    base = 0
+    media.clusters.append((0, place))
+    while at < end:
+        name, content, stop = _head(data, at, end)
+        if open_ and name not in CLUSTER_PARTS and name not in (VOID, CRC):
+            break
+        if name == BLOCK_GROUP:
+            at = _group(data, content, end if stop < 0 else stop, stop < 0, base, media)
             continue
-        if element == SCALE:
-            media.scale = _unsigned(data, at, stop)
-        elif element == TIMESTAMP and media.clusters:
-            state["base"] = _unsigned(data, at, stop)
-            media.clusters[-1] = (state["base"], media.clusters[-1][1])
-        elif element == SIMPLE_BLOCK:
-            _block(data, at, stop, state["base"], media, None)
+        if stop < 0:
+            raise ValueError(f"element at {at} needs a size")
+        if name == TIMESTAMP:
+            base = _unsigned(data, content, stop)
+            media.clusters[-1] = (base, place)
+        elif name == SIMPLE_BLOCK:
+            _block(data, content, stop, base, media, None)
         at = stop
-    del stack
+    return at
 
 
-def _children(data: bytes, at: int, end: int):
+def _group(data: bytes, at: int, end: int, open_: bool, base: int, media: Media) -> int:
+    blocks, key = [], True
     while at < end:
-        element, at = read_id(data, at)
-        size, at, _ = read_vint(data, at)
-        stop = end if size < 0 else at + size
-        if stop > end:
-            raise ValueError(f"child at {at} is cut short")
-        yield element, (at, stop)
+        name, content, stop = _head(data, at, end)
+        if open_ and name not in GROUP_PARTS and name not in (VOID, CRC):
+            break
+        if stop < 0:
+            raise ValueError(f"element at {at} needs a size")
+        if name == BLOCK:
+            blocks.append((content, stop))
+        key &= name != REFERENCE
         at = stop
+    for lo, hi in blocks:
+        _block(data, lo, hi, base, media, key)
+    return at
+
+
+def _children(data: bytes, at: int, end: int):
+    """(id, begin, end) of the content of each child; one of unknown size reaches to its parent's end."""
+    while at < end:
+        name, at, stop = _head(data, at, end)
+        yield name, at, end if stop < 0 else stop
+        at = end if stop < 0 else stop
 
 
-def _group(data: bytes, at: int, end: int, media: Media, state: dict) -> None:
-    found = list(_children(data, at, end))
-    key = not any(element == REFERENCE for element, _ in found)
-    for element, (lo, hi) in found:
-        if element == BLOCK:
-            _block(data, lo, hi, state["base"], media, key)
+def _track(data: bytes, lo: int, hi: int, media: Media) -> None:
+    found = {name: (a, b) for name, a, b in _children(data, lo, hi)}
+    number = _unsigned(data, *found[TRACK_NUMBER]) if TRACK_NUMBER in found else 0
+    media.codecs[number] = bytes(data[slice(*found[CODEC])]).decode("ascii", "replace") if CODEC in found else ""
+    if DURATION in found:
+        media.durations[number] = _unsigned(data, *found[DURATION])
 
 
 def _cue(data: bytes, at: int, end: int, media: Media) -> None:
     time = 0
-    for element, (lo, hi) in _children(data, at, end):
-        if element == CUE_TIME:
+    for name, lo, hi in _children(data, at, end):
+        if name == CUE_TIME:
             time = _unsigned(data, lo, hi)
-        elif element == CUE_POSITIONS:
-            inner = {k: _unsigned(data, *v) for k, v in _children(data, lo, hi)}
+        elif name == CUE_POSITIONS:
+            inner = {k: _unsigned(data, a, b) for k, a, b in _children(data, lo, hi) if b - a <= 8}
             media.cues.append((time, inner.get(CUE_TRACK, 0), inner.get(CUE_CLUSTER, 0)))
 
 
@@ -195,7 +258,7 @@ _HEADER = element(
 _SETUP = element(INFO, _number(SCALE, SCALE_NS)) + element(
     TRACKS,
     element(
-        TRACK_ENTRY, _number(TRACK_NUMBER, 1), _number(0x73C5, 1), _number(0x83, 2), element(CODEC, b"A_PCM/INT/LIT"),
+        TRACK_ENTRY, _number(TRACK_NUMBER, 1), _number(0x73C5, 1), _number(0x83, 2), _number(DURATION, FRAME * SCALE_NS), element(CODEC, b"A_PCM/INT/LIT"),
         element(0xE1, element(0xB5, struct.pack(">d", RATE)), _number(0x9F, 1), _number(0x6264, 8)),
     ),
 )
@@ -236,7 +299,8 @@ def features(media: Media, payload: bytes) -> str:
     total, energy = int(x.sum(dtype=np.int64)), int(np.square(x.astype(np.int32) - 128).sum(dtype=np.int64))
     high = x >= 128
     crossings = int(np.count_nonzero(high[1:] != high[:-1]))
-    seek = sum((time, at) in set(media.clusters) for time, _, at in media.cues)
+    there = set(media.clusters)
+    seek = sum((time, at) in there for time, _, at in media.cues)
     return f"packets={len(media.packets)};clusters={len(media.clusters)};cues={seek};mean={total / len(x):.4f};rms={(energy / len(x)) ** 0.5:.4f};crossings={crossings};values={len(np.unique(x))}"
 
 
@@ -263,40 +327,42 @@ def packets(df: DataFrame, media: str = "media", key: str = "doc_id") -> DataFra
 
 
 def encode(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, media): every whole text, padded, as a Matroska file."""
+    """(key, n_bytes, media): every whole text, padded, as a Matroska file; n_bytes without the padding."""
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches):
         for batch in batches_of(batches):
-            media = [mux(padded((t or "").encode())) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(media, pa.binary())], ["key", "media"])
+            raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array([len(r) for r in raw], pa.int64()), pa.array([mux(padded(r)) for r in raw], pa.binary())], ["key", "n_bytes", "media"])
 
-    return arrow_map(df.select(df[key].alias("key"), df[text].alias("text")), run, f"key {kind}, media binary").withColumnRenamed("key", key)
+    return arrow_map(df.select(df[key].alias("key"), df[text].alias("text")), run, f"key {kind}, n_bytes long, media binary").withColumnRenamed("key", key)
 
 
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_packets long, duration_ns long"
 
 
-def digests(df: DataFrame) -> DataFrame:
-    """Per document: the text stored as a file, the file parsed, and what its packets hold."""
+def digests(stored: DataFrame) -> DataFrame:
+    """Per row of stored (doc_id, n_bytes, media): the file parsed, and what the byte ranges of its packets hold. A
+    damaged file fails the query."""
 
     def run(batches):
-        for batch in batches_of(batches):
+        for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = (text or "").encode()
-                blob = mux(padded(raw))
+            for doc, size, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                blob = blob.as_py()
                 media = parse(blob)
                 if media.error:
                     raise ValueError(media.error)
-                payload = b"".join([blob[at : at + size] for _, _, at, size, _ in media.packets])
-                rows.append((doc, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(blob), hashlib.sha256(blob).hexdigest(), features(media, payload), len(media.packets), len(payload) * SCALE_NS))
-            cols = list(zip(*rows))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], [f.split()[0] for f in SCHEMA.split(", ")])
+                payload = b"".join([blob[at : at + n] for _, _, at, n, _ in media.packets])
+                end = max((ns + n * media.scale for _, ns, _, n, _ in media.packets), default=0)
+                rows.append((doc, size, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(blob), hashlib.sha256(blob).hexdigest(), features(media, payload), len(media.packets), end))
+            if rows:
+                cols = list(zip(*rows))
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], [f.split()[0] for f in SCHEMA.split(", ")])
 
-    return arrow_map(df.select(df["doc_id"].cast("long").alias("doc_id"), df["text"].alias("text")), run, SCHEMA)
+    return arrow_map(stored.select(stored["doc_id"].cast("long").alias("doc_id"), "n_bytes", "media"), run, SCHEMA)
 
 
 def op1_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return digests(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))

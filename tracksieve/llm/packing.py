@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, table, written
+from .common import arrow_map, free, table, written
 from .textvec import batches_of, buffers, compacted, joined_values
 
 CAPACITY = 2048
+MOST_WORDS = 200_000  # that a worker keeps the ids of; then it starts anew
 # Symbol classes of the pre-tokenizer within Latin-1.
 _WHITE, _LETTER, _NUMBER, _OTHER = range(4)
 
@@ -99,7 +100,7 @@ class Words:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(the library's ids of all texts, bounds). Texts beyond Latin-1, or with `<|`, go to it whole."""
-        if len(self.at) > 1 << 20:
+        if len(self.at) > MOST_WORDS:
             self.forget()  # bounded memory
         raw, offsets = buffers(texts)
         data = raw.tobytes()
@@ -155,7 +156,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every row of (doc_id, text)."""
 
     def run(batches):
-        for batch in batches_of(batches, 2 << 20):
+        for batch in batches_of(batches, 1 << 20):
             cols: list[list] = [[], [], [], [], [], []]
             every, bounds = words_of(path).encode(batch.column(1))
             for doc, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -291,20 +292,24 @@ def rules(groups: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, tuple[np
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """cut (doc_id, piece, start, length, ids_crc32, ...) with sequence_id and offset of every piece."""
-    spark, cut = cut.sparkSession, written(cut, "pieces")
+    """cut (doc_id, piece, start, length, ids_crc32[, ids]) with sequence_id and offset of every piece. Ranks and places are
+    found on narrow rows under a row number; what else a piece has moves once, when its place is joined to it."""
+    spark, names = cut.sparkSession, cut.columns
+    row = free("row", names)
+    cut = written(cut.withColumn(row, F.monotonically_increasing_id()), "pieces")
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # `capacity` rows at most
     placed = rules(plan(histogram, capacity))
-    order = [c for c in cut.columns if c != "ids"]
     # A length's n pieces go to about sqrt(n) buckets, so that neither a bucket nor a length's list of buckets is long.
-    share = spark.createDataFrame([(x, math.isqrt(n - 1) + 1) for x, n in histogram.items()], "length long, _k int")
-    cut = cut.join(F.broadcast(share), "length").withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.col("_k"))).drop("_k").select(*cut.columns, "_b")
-    each = cut.groupBy("length", "_b").agg(F.count("*").alias("_n"))
-    before = each.select("length", "_b", (F.sum("_n").over(Window.partitionBy("length").orderBy("_b")) - F.col("_n")).alias("_before"))
-    ranked = cut.withColumn("_r", F.row_number().over(Window.partitionBy("length", "_b").orderBy(*order)) - 1)
-    ranked = ranked.join(before, ["length", "_b"]).withColumn("_rank", F.col("_r") + F.col("_before")).drop("_b", "_r", "_before")
-    keep = [c for c in cut.columns if c != "_b"]
-    kinds = {f.name: f.dataType.simpleString() for f in cut.schema}
+    share = spark.createDataFrame([(x, math.isqrt(n - 1) + 1) for x, n in histogram.items()], "length long, k int")
+    wide = "ids" in names
+    narrow = cut.select(*(["length", row] if wide else [*names, row]))
+    dealt = narrow.join(F.broadcast(share), "length").withColumn("b", F.pmod(F.xxhash64(row), F.col("k"))).drop("k")
+    each = dealt.groupBy("length", "b").agg(F.count("*").alias("n"))
+    before = each.select("length", "b", (F.sum("n").over(Window.partitionBy("length").orderBy("b")) - F.col("n")).alias("before"))
+    ranked = dealt.withColumn("r", F.row_number().over(Window.partitionBy("length", "b").orderBy(row)) - 1)
+    ranked = ranked.join(before, ["length", "b"]).withColumn("rank", F.col("r") + F.col("before"))
+    keep = [c for c in narrow.columns if wide or c != row]
+    kinds = {f.name: f.dataType.simpleString() for f in narrow.schema}
 
     def run(batches):
         for batch in batches:
@@ -319,7 +324,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 offset[mine] = begin[k] + within % times[k] * x
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(sequence), pa.array(offset)], [*keep, "sequence_id", "offset"])
 
-    return arrow_map(ranked.select(*keep, "_rank"), run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", sequence_id long, offset long")
+    out = arrow_map(ranked.select(*keep, "rank"), run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", sequence_id long, offset long")
+    return cut.join(out.drop("length"), row).drop(row) if wide else out
 
 
 def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
