@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from tracksieve.plans import flow_queries  # noqa: F401
 from tracksieve.plans.catalogue import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"

@@ -39,6 +39,9 @@ class Config:
     def edge_threshold(self) -> float:
         return max(self.similarity_threshold, self.similarity_threshold + (self.resolution - 0.5) * 0.1)
 
+    def items(self) -> list[tuple[str, object]]:
+        return list(asdict(self).items())
+
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 

@@ -29,8 +29,9 @@ def guarded(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, 0.0).otherwise(part / whole)
 
 
-def final_label() -> Column:
-    return F.coalesce(F.nullif(F.col("hitl_label"), F.lit("")), F.when(F.col("status") == "known", F.col("clip_label")))
+def final_label(status: str = "status") -> Column:
+    """A reviewer's label if there is one that isn't empty, else the suggested one of a known cluster."""
+    return F.coalesce(F.nullif(F.col("hitl_label"), F.lit("")), F.when(F.col(status) == "known", F.col("clip_label")))
 
 
 def purity(auto: Column, hitl: Column, config: Config) -> Column:

@@ -38,7 +38,7 @@ def folded_reviews(log: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def representatives(df: DataFrame, means: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
-    """The n rows nearest each group's mean; all in arrival order if there are no more than n."""
+    """The n rows nearest each group's mean, nearest first; all of them if there are no more than n."""
     from ..functions import vectors
 
     near = df.join(means, keys).withColumn("sim", F.round(vectors.dot("embedding", "mean_embedding"), 9))

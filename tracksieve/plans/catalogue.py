@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..config import CONFIG, DOCUMENTED
 from ..functions import geometry, scores, vectors
 from ..operators import funnel, graph, monitor, tracker, udfs
-from ..sources.tables import DETECTIONS_SQL, detections, review_log, table
+from ..operators.ranks import ranked
+from ..sources.tables import DETECTIONS_SQL, cache_key, detections, review_log, table
 from ..streaming import stream
 
 QUERIES: dict = {}
@@ -70,7 +71,7 @@ def q_ids_and_hash(spark, d):
     b = detections(spark, d)
     return b.select(
         "seq", F.concat_ws("_", "entity_type", F.substring(F.md5("video_path"), 1, 8), "frame_idx", "track_id").alias("crop_id"), F.when(F.col("entity_type") == "face", F.col("track_id") + 10000).otherwise(F.col("track_id")).alias("display_track"),
-        (F.col("frame_idx") * F.lit(CONFIG.frame_ms)).alias("timestamp_ms"), F.substring(F.md5(F.concat_ws("_", "video_path", "seq", "frame_idx")), 1, 12).alias("cache_key"),
+        (F.col("frame_idx") * F.lit(CONFIG.frame_ms)).alias("timestamp_ms"), cache_key("video_path", "seq", "frame_idx").alias("cache_key"),
         F.replace(F.concat(F.lit("new "), "entity_type", F.lit(" label")), F.lit(" "), F.lit("_")).alias("label"), F.format_string("cluster_%04d", "track_id").alias("cluster_id"),
     )
 
@@ -148,12 +149,10 @@ def q_mean_norm(spark, d):
 
 @query(f"WITH {MEANS}, s AS (SELECT vec_id, u.label AS proto, round(sum(CAST(embedding[pos] AS DOUBLE) * x), 9) AS sim FROM embeddings, u GROUP BY vec_id, u.label), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, proto) AS rn FROM s) SELECT vec_id, proto, round(sim, 6) AS sim, CASE WHEN sim >= 0.15 THEN 'known' ELSE 'unknown' END AS status FROM k WHERE rn = 1")
 def q_nearest_prototype(spark, d):
-    """Prototypes are one small dimension: as many rows as labels, gathered into one array row."""
+    """Prototypes are a dimension: a row a label, sent to the workers as one matrix that must stay under a bound."""
     e = embeddings(spark, d)
-    protos = vectors.means(e, ["label"]).agg(F.array_sort(F.collect_list(F.struct("label", "mean_embedding"))).alias("protos"))
-    sims = F.transform("protos", lambda p: F.struct(F.round(vectors.dot("embedding", p["mean_embedding"]), 9).alias("sim"), (-p["label"]).alias("neg")))
-    best = e.crossJoin(protos).select("vec_id", F.array_max(sims).alias("b"))
-    return best.select("vec_id", (-F.col("b.neg")).alias("proto"), r6("b.sim").alias("sim"), scores.status(F.col("b.sim"), CONFIG).alias("status"))
+    best = graph.nearest(e, vectors.means(e, ["label"]), "label")
+    return best.select("vec_id", "proto", r6("sim").alias("sim"), scores.status(F.col("sim"), CONFIG).alias("status"))
 
 
 @query(f"WITH {MEANS}, s AS (SELECT vec_id, e.label AS label, round(sum(CAST(embedding[pos] AS DOUBLE) * x), 9) AS sim FROM embeddings e JOIN u ON u.label = e.label GROUP BY vec_id, e.label) SELECT label, vec_id, round(sim, 6) AS sim, rn FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY sim DESC, vec_id) AS rn FROM s) WHERE rn <= 5")
@@ -183,7 +182,7 @@ def q_sim_edges(spark, d):
 
 def clusters(spark, d):
     e = embeddings(spark, d)
-    return graph.components(graph.similarity_edges(e, CUT), e).join(e.select("vec_id", "entity"), "vec_id")
+    return graph.components(graph.similar_links(e, CUT), e).join(e.select("vec_id", "entity"), "vec_id")
 
 
 @query(COMP + " SELECT vec_id, component FROM c")
@@ -191,15 +190,6 @@ def q_components(spark, d):
     return clusters(spark, d).select("vec_id", "component")
 
 
-def ranked(df: DataFrame, order: list[str]) -> DataFrame:
-    """0-based rank over the whole order without one task for all rows: ranges, counts, ranks within ranges."""
-    parts = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    parts = graph.written(parts, "ranges")
-    before = parts.groupBy("_p").agg(F.count("*").alias("_c")).withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    own = parts.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1)
-    return own.join(before.select("_p", "_b"), "_p").withColumn("rank", (F.col("_r") + F.col("_b")).cast("bigint")).drop("_p", "_r", "_b")
-
-
 @query(COMP + " SELECT vec_id, dense_rank() OVER (ORDER BY component) - 1 AS cluster_idx, format('cluster_{:04d}', dense_rank() OVER (ORDER BY component) - 1) AS cluster_id FROM c")
 def q_dense_cluster_ids(spark, d):
     c = clusters(spark, d)
@@ -210,8 +200,7 @@ def q_dense_cluster_ids(spark, d):
 @query(COMP + ", z AS (SELECT component, count(*) AS n, min(component % 2) AS x FROM c GROUP BY component), k AS (SELECT z.*, e.label % 2 AS entity FROM z JOIN embeddings e ON e.vec_id = z.component) SELECT component, CASE WHEN entity = 0 THEN 'brand_unknown_' ELSE 'face_unknown_' END || lpad(CAST(row_number() OVER (PARTITION BY entity ORDER BY component) AS VARCHAR), CAST(greatest(3, length(CAST(row_number() OVER (PARTITION BY entity ORDER BY component) AS VARCHAR))) AS INT), '0') AS unknown_id FROM k WHERE n = 1")
 def q_unknown_ids(spark, d):
     z = clusters(spark, d).groupBy("component").agg(F.count("*").alias("n"), F.min("entity").alias("entity")).where("n = 1")
-    rn = F.row_number().over(Window.partitionBy("entity").orderBy("component"))
-    return z.withColumn("rn", rn).select("component", F.format_string("%s_unknown_%03d", F.when(F.col("entity") == 0, "brand").otherwise("face"), F.col("rn")).alias("unknown_id"))
+    return ranked(z, ["component"], ("entity",), "rn").withColumn("rn", F.col("rn") + 1).select("component", F.format_string("%s_unknown_%03d", F.when(F.col("entity") == 0, "brand").otherwise("face"), F.col("rn")).alias("unknown_id"))
 
 
 # Funnel.
@@ -354,8 +343,7 @@ SELECT round(sum((a - e) * ln(a / e)), 6) AS psi, CASE WHEN sum((a - e) * ln(a /
 
 
 def drift(df):
-    p = monitor.psi(df, "value", "side")
-    return p.select(r6("psi").alias("psi"), F.when(F.col("psi") > CONFIG.psi_alert, "severe").when(F.col("psi") > CONFIG.psi_warn, "warn").otherwise("ok").alias("alert"))
+    return monitor.psi(df, "value", "side").select(r6("psi").alias("psi"), monitor.drift_alert(F.col("psi"), CONFIG).alias("alert"))
 
 
 @query(psi_sql("SELECT value, CASE WHEN event_id % 2 = 0 THEN 'expected' ELSE 'actual' END AS side FROM events"))

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fixtures import stem
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -39,10 +41,16 @@ def cached(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at) else None
 
 
+def save_stage(df: DataFrame, path: str) -> DataFrame:
+    """A stage's result at a path that a later run finds with cached()."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def save_records(records: DataFrame, path: str) -> None:
     """One folder per video, each overwritten on its own; nothing is written for a video without records."""
-    stem = F.regexp_extract("video_path", r"([^/]*?)(?:\.[^./]*)?$", 1)
-    records.withColumn("video_stem", stem).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("video_stem").parquet(path)
+    out = records.withColumn("video_stem", stem("video_path"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("video_stem").parquet(path)
 
 
 def cache_key(path: str, size: str, mtime: str) -> F.Column:

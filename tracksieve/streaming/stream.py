@@ -17,11 +17,15 @@ from ..plans.stages import shared_dir, ship
 
 def tracked(boxes: DataFrame) -> DataFrame:
     """(video_path, seq, assigned) of a stream of boxes; the tracker's state is kept per video across batches.
-    Frames are taken in order within a batch; a frame that comes after a later one was tracked is dropped."""
+    Frames are taken in order within a batch; boxes of a frame that comes after a later one was tracked come out
+    unassigned, as what was tracked can't be tracked again."""
 
     def one(video: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         tracks, last, frame = pickle.loads(state.get[0]) if state.exists else ([], 0, -1)
         rows = pd.concat(list(parts))
+        late = rows[rows.frame_idx <= frame]
+        if len(late):
+            yield pd.DataFrame({"video_path": video[0], "seq": late.seq.to_numpy(), "assigned": pd.array([None] * len(late), "Int64")})
         rows = rows[rows.frame_idx > frame]
         tracker = Tracker(tracks, last)
         if len(rows):
@@ -52,7 +56,8 @@ def tracked_once(spark: SparkSession, boxes: DataFrame) -> DataFrame:
 
 
 def snapshots(events: DataFrame, late: str = "2 days") -> DataFrame:
-    """Counts per day and video; state of days older than the watermark is let go."""
+    """Counts per day and video. In append mode a day comes out, and its state goes, once the watermark has passed it; in
+    complete mode, as snapshots_once() runs it, all days stay, a row a day and video."""
     at = events.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
     day = at.groupBy(F.window("at", "1 day"), (F.col("user_id") % 4).alias("video")).agg(F.count("*").alias("total_crops"), F.count_if(F.col("value") / 100 >= 0.85).alias("auto_accept"))
     return day.select(F.date_format("window.start", "yyyy-MM-dd").alias("date_str"), "video", "total_crops", "auto_accept")
