@@ -1,4 +1,4 @@
-"""From boxes to dataset records, phase by phase; each a function of DataFrames, none of which collects anything.
+"""From boxes to dataset records, phase by phase; each a function of DataFrames, none of which collects rows.
 
 Crops have video_path, entity_type, track_id, frame_idx, seq (arrival order), x1..y2, det_score, embedding, frame_label.
 A tracklet is keyed by (video_path, entity_type, track_id); its node is the seq of its first crop.
@@ -134,7 +134,7 @@ def labelled(clusters: DataFrame, reps: DataFrame, entities: DataFrame, config:
 
 def phase4(tracklets: DataFrame, crops: DataFrame, entities: DataFrame, config: Config, cut: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(clusters, members): tracklets to clusters to labels. No tracklets give no clusters."""
-    members = clustered(tracklets, config.edge_threshold if cut is None else cut)
+    members = graph.written(clustered(tracklets, config.edge_threshold if cut is None else cut), "members")
     return labelled(assembled(members), representatives(members, crops), entities, config), members
 
 
@@ -234,7 +234,7 @@ class Flow:
     reviews: a function from queued clusters to decisions (video_path, component, event, label)."""
 
     def __init__(self, crops: DataFrame, entities: DataFrame, config: Config, cut: float | None = None, reviews=simulated_review):
-        self.config, self.crops, self.tracklets = config, crops, phase3(crops)
+        self.config, self.crops, self.tracklets = config, crops, graph.written(phase3(crops), "tracklets")
         clusters, self.members = phase4(self.tracklets, crops, entities, config, cut)
         clusters = graph.written(routed(clusters, config), "clusters")
         self.clusters = decided(clusters, reviews(clusters.where("route = 'queue'")))
