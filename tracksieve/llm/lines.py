@@ -11,7 +11,8 @@ Two lines within the bound have either equal variants at an equal place (substit
 that has an earlier one is then held against that one, word by word, and the edit distance is verified.
 
 With two edits, lines that share a third at about its place are candidates. Where at most HOT lines share it, their pairs
-are compared; the lines of larger groups emit all variants of two deletions, and the earliest is again a grouped minimum.
+are compared; the lines of larger groups emit the variants of two deletions that a line with this third may share, and the
+earliest is again a grouped minimum.
 
 Hashes of lines are sums of scrambled (word, place) pairs, not polynomials; two of 64 bits are compared.
 
@@ -121,6 +122,21 @@ def third_keys(sums: Sums) -> np.ndarray:
     return out
 
 
+def needed(keys: np.ndarray, n: int, hot: set[int], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of the deletions i < j of a line of n words with these 12 keys of thirds, those that a partner under a hot key needs.
+    Equal words at the front, or at the back, can always be kept (taking them away changes no distance); with an equal
+    middle and neither outer third equal, one edit is in front of it and one behind."""
+    out, at = np.zeros(len(i), bool), 0
+    for more, shifts in ((0, (-1, 0, 1)), (1, (-1, 0)), (2, (-1,))):
+        third = (n + more) // 6 * 2
+        tests = [lambda: i >= third, lambda: j < n - third, *((lambda k=k: (i < third + k) & (j >= 2 * third + k)) for k in shifts)]
+        for test in tests:
+            if int(keys[at]) in hot:
+                out |= test()
+            at += 1
+    return out
+
+
 def _lists(keys: np.ndarray, has: np.ndarray) -> pa.ListArray:
     """A list of distinct keys for each line that `has` them, an empty one for the others."""
     keys = np.sort(keys.view(np.int64), axis=1)
@@ -297,7 +313,8 @@ def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _two_deletions(lines: DataFrame) -> DataFrame:
-    """(v, check, g, h, doc_id, line): each line less none, one and two words; g <= h are the gaps in what remains, or -1."""
+    """(v, check, g, h, doc_id, line) of lines (doc_id, line, words, hot): each line less none, one and two words; g <= h
+    are the gaps in what remains, or -1. Of the pairs of words, those that its hot keys need."""
 
     def rows(batch, k, columns):
         one = [pa.array(c.view(np.int64)) if c.dtype == U64 else pa.array(c.astype(np.int32)) for c in columns]
@@ -307,19 +324,22 @@ def _two_deletions(lines: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                words = np.array(batch.column(2)[k].as_py(), np.int64).view(U64)
+                words, hot = np.array(batch.column(2)[k].as_py(), np.int64).view(U64), set(batch.column(3)[k].as_py())
                 n = len(words)
                 sums = Sums(words, np.array([0]), np.array([n]))
+                keys = third_keys(sums)[0].view(np.int64)
                 yield rows(batch, k, [*(np.append(sums.less_one(s), sums.whole(s)) for s in SEEDS), np.append(sums.place, -1), np.full(n + 1, -1)])
                 totals = [[sums.behind(d, s) for d in range(3)] for s in SEEDS]
                 step = max(1, (1 << 18) // n)
                 for at in range(0, n - 1, step):
                     every = np.arange(at, min(at + step, n - 1))
                     i, j = np.repeat(every, n - 1 - every), np.concatenate([np.arange(x + 1, n) for x in every.tolist()])
+                    of_use = needed(keys, n, hot, i, j)
+                    i, j = i[of_use], j[of_use]
                     cut = [mix((a[i] + (b[j] - b[i + 1]) + (c[n] - c[j + 1])) ^ mix(np.array([n - 2], U64))) for a, b, c in totals]
                     yield rows(batch, k, [*cut, i, j - 1])
 
-    return arrow_map(lines.select("doc_id", "line", "words"), run, "v long, check long, g int, h int, doc_id long, line int")
+    return arrow_map(lines.select("doc_id", "line", "words", "hot"), run, "v long, check long, g int, h int, doc_id long, line int")
 
 
 def _close_in_hot(lines: DataFrame) -> DataFrame:
@@ -328,11 +348,14 @@ def _close_in_hot(lines: DataFrame) -> DataFrame:
     other's, or both have one deletion or none."""
     order = F.struct("doc_id", "line")
     every = written(_two_deletions(lines), "two_deletions")
+    shared = written(every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v"), "two_shared")
+    live = written(every.join(shared, "v"), "two_live")  # the few that may have a partner
+    discard(every, shared)
+    release(lines.sparkSession)
     least = lambda where: F.min(F.when(where, order))
     none, one, two = F.col("g") < 0, (F.col("g") >= 0) & (F.col("h") < 0), F.col("h") >= 0
-    at = every.groupBy("v", "check").agg(least(none).alias("m0"), least(one).alias("m1"), least(two).alias("m2"), F.count("*").alias("c")).where("c > 1").drop("c")
-    live = written(every.join(at, ["v", "check"]), "two_live")
-    discard(every)
+    at = live.groupBy("v", "check").agg(least(none).alias("m0"), least(one).alias("m1"), least(two).alias("m2"), F.count("*").alias("c")).where("c > 1").drop("c")
+    live = live.join(at, ["v", "check"])
     gaps = live.where("g >= 0").withColumn("gap", F.explode(F.array_distinct(F.when(two, F.array("g", "h")).otherwise(F.array("g")))))
     gaps = gaps.groupBy("v", "check", "gap").agg(least(one).alias("s1"), least(two).alias("s2"))
     both = live.where(two).groupBy("v", "check", "g", "h").agg(F.min(order).alias("d"))
@@ -353,7 +376,7 @@ def close_by_two(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     keyed = held.select(F.explode("keys").alias("key"), F.struct("doc_id", "line").alias("at"), F.size("words").alias("n"))
     counts = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     keyed = written(keyed.join(counts, "key"), "thirds")
-    hot = keyed.where(F.col("c") > HOT).select("at.doc_id", "at.line").distinct()
+    hot = keyed.where(F.col("c") > HOT).groupBy("at.doc_id", "at.line").agg(F.collect_set("key").alias("hot"))
     cold = keyed.where(F.col("c") <= HOT)
     other = cold.select("key", F.col("at").alias("least"), F.col("n").alias("m"))
     pairs = cold.join(other, "key").where((F.col("least") < F.col("at")) & (F.abs(F.col("n") - F.col("m")) <= 2)).select(F.col("at").alias("first"), "least")
