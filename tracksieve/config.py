@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import asdict, dataclass
 
 
@@ -42,9 +41,6 @@ class Config:
     def items(self) -> list[tuple[str, object]]:
         return list(asdict(self).items())
 
-    def to_json(self) -> str:
-        return json.dumps(asdict(self))
-
 
 CONFIG = Config()
 DOCUMENTED = Config(auto_accept_score=0.85, hitl_low_score=0.60, known_threshold=0.60)

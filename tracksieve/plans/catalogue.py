@@ -76,11 +76,6 @@ def q_ids_and_hash(spark, d):
     )
 
 
-@query("SELECT '" + CONFIG.to_json() + "' AS config_json")
-def q_config_json(spark, d):
-    return spark.range(1).select(F.lit(CONFIG.to_json()).alias("config_json"))
-
-
 # Joins on overlap, frames.
 
 PAIRS = DET + """, p AS (SELECT a.seq AS a_seq, b.seq AS b_seq, a.video_path AS video_path, a.frame_idx // 50 AS bucket,

@@ -87,15 +87,13 @@ def q_tracklet_counts(spark, d):
 @query(rec(CLUSTERS_SQL) + " SELECT video_path, entity_type, cluster_idx, cluster_id, component, tracklets, sample_count, round(tss, 6) AS tss, round(clip_score, 6) AS clip_score, status, clip_label FROM ci")
 def q_flow_clusters(spark, d):
     """Phase 4: tracklets to clusters (logos before faces), labels, and numbers of unknown ones that run on over videos."""
-    c = crops(spark, d)
-    found, _ = phases.phase4(graph.written(phases.phase3(c), "tracklets"), c, entities(spark, d), CONFIG, CUT)
+    found = flow(spark, d).clusters
     return found.select("video_path", "entity_type", "cluster_idx", "cluster_id", "component", "tracklets", "sample_count", r6("tss").alias("tss"), r6("clip_score").alias("clip_score"), "status", "clip_label")
 
 
 @query(rec(CLUSTERS_SQL) + " SELECT video_path, entity_type, max(cluster_idx) + 1 AS next_idx, count(*) FILTER (WHERE status = 'known') AS known, count(*) FILTER (WHERE status = 'unknown') AS unknown, round(count(*) FILTER (WHERE status = 'unknown') / (count(*) + 1e-9) * 100, 1) AS unlabeled_pct FROM ci GROUP BY ALL")
 def q_cluster_summary(spark, d):
-    c = crops(spark, d)
-    found, _ = phases.phase4(graph.written(phases.phase3(c), "tracklets"), c, entities(spark, d), CONFIG, CUT)
+    found = flow(spark, d).clusters
     lost = F.count_if(F.col("status") == "unknown")
     return found.groupBy("video_path", "entity_type").agg((F.max("cluster_idx") + 1).alias("next_idx"), F.count_if(F.col("status") == "known").alias("known"), lost.alias("unknown"), F.round(scores.rate(lost, F.count("*")) * 100, 1).alias("unlabeled_pct"))
 
@@ -347,7 +345,7 @@ def q_fine_tune(spark, d):
 
 
 @query("SELECT '{' || string_agg('\"' || k || '\":' || v, ',' ORDER BY o) || '}' AS config_json FROM (VALUES " + ", ".join(f"({o}, '{k}', '{v}')" for o, (k, v) in enumerate(CONFIG.items())) + ") t(o, k, v)")
-def q_config_to_json(spark, d):
+def q_config_json(spark, d):
     """The settings as JSON, built by Spark from columns."""
     return spark.range(1).select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in CONFIG.__dict__.items()])).alias("config_json"))
 
