@@ -404,7 +404,17 @@ def test_thresholds_against_brute_force(spark, monkeypatch):
     assert not any(r["flagged"] for r in toxicity.flagged(df, toxicity.thresholds(df, labels.where("false"))).collect())
 
 
-def test_pooling_and_gradients_by_loops():
+def test_toxicity_query_on_held_out_rows(spark):
+    sf = SF.replace("0.001", "0.01")
+    got = {r["doc_id"]: r for r in toxicity.op8_conv_toxicity(spark, sf).collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) and r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    held = [(got[i]["predicted"], t) for i, t in labels.items() if i in got and got[i]["held_out"]]
+    assert len(held) > 50 and sum(p == t for p, t in held) >= 0.9 * len(held)
+
+
+def test_pooling_by_loops_and_gradients_by_differences():
     rng = np.random.default_rng(0)
     docs = [rng.integers(0, toxicity.HASHED, (2, n)).astype(np.int32) + np.array([[0], [toxicity.HASHED]], np.int32) for n in (0, 1, 2, 7)]
     kept = (rng.integers(0, 48, 2 * toxicity.HASHED) + 2).astype(np.int32)
@@ -418,6 +428,28 @@ def test_pooling_and_gradients_by_loops():
             every = [sum(words[i + j] @ net.filters[w][j] for j in range(w)) for i in range(doc.shape[1])]
             want = np.max(every, axis=0) if every else np.zeros(toxicity.FILTERS)
             assert np.allclose(got[k * toxicity.FILTERS : (k + 1) * toxicity.FILTERS], want, atol=1e-4)
+    rows, bounds = net.rows(ids, bounds)
+    toxic = np.array([1, 0, 1, 0], np.float32)
+
+    def loss():
+        z = net.logits(net.pooled(rows, bounds)[0])
+        return float(np.sum(np.logaddexp(0, z) - toxic * z))
+
+    pooled, at = net.pooled(rows, bounds, where=True)
+    active = pooled + net.bias
+    delta = 1 / (1 + np.exp(-net.logits(pooled))) - toxic
+    grads = toxicity.gradients(net, rows, bounds, at, np.maximum(active, 0), delta, (delta[:, None] * net.out) * (active > 0))
+    for name, p in (("out", net.out), ("bias", net.bias), ("embed", net.embed), ("f2", net.filters[2])):
+        for _ in range(6):
+            k = tuple(int(rng.integers(0, d)) for d in p.shape)
+            if name == "embed":
+                k = (int(rng.choice(rows[rows > 1])), k[1])
+            kept, step = p[k], np.float32(2e-3)
+            p[k] = kept + step
+            up = loss()
+            p[k] = kept - step
+            down, p[k] = loss(), kept
+            assert abs((up - down) / (2 * step) - grads[name][k]) < 0.05 + 0.05 * abs(grads[name][k])
 
 
 def test_proximity_and_odd_texts(spark, odd, nothing):

@@ -92,14 +92,16 @@ def sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def table_keys(classes: DataFrame) -> DataFrame:
-    """(key, doc_id): the keys of each class (doc_id, half) whose two half-keys both occur in other classes too."""
+    """(key, doc_id), written: the keys of each class (doc_id, half) whose two half-keys both occur in other classes too."""
     halves = written(classes.select("doc_id", F.posexplode("half").alias("slot", "h")), "halves")
     shared = halves.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h")
     held = halves.join(shared, "h").groupBy("doc_id").agg(F.collect_set(F.struct("slot", "h")).alias("own"))  # 2M for each text
     side = lambda test: F.filter("own", lambda x: test(x["slot"]))
     held = held.select("doc_id", side(lambda k: k < M).alias("one"), side(lambda k: k >= M).alias("two"))
     pairs = F.flatten(F.transform("one", lambda x: F.transform("two", lambda y: F.xxhash64(x["slot"], y["slot"], x["h"], y["h"]))))
-    return held.select("doc_id", F.explode(F.array_distinct(pairs)).alias("key"))
+    out = written(held.select("doc_id", F.explode(F.array_distinct(pairs)).alias("key")), "keys")
+    discard(halves)
+    return out
 
 
 def buckets(keys: DataFrame) -> DataFrame:
@@ -201,7 +203,7 @@ def exhausted(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 def grouped(classes: DataFrame, docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
     """(node, component) as all links between classes in one bucket give it. classes: (doc_id, half, n, bits)."""
-    keys = written(table_keys(classes.select("doc_id", "half")), "keys")
+    keys = table_keys(classes.select("doc_id", "half"))
     members = written(buckets(keys), "members")
     discard(keys)
     inside = written(members.select(F.col("doc_id").alias("_id")).distinct(), "inside")

@@ -102,6 +102,20 @@ class Net:
         return out, grown
 
 
+def gradients(net: Net, rows, bounds, at, hidden, delta, back) -> dict[str, np.ndarray]:
+    """Of the loss, by the layers' names: delta is its gradient at the logits, back at the pooled values, at where each
+    filter has its maximum; the maximum passes its gradient to the words it was taken over."""
+    out = {"out": hidden.T @ delta, "bias": back.sum(0), "embed": np.zeros_like(net.embed), **{f"f{w}": np.zeros_like(net.filters[w]) for w in WIDTHS}}
+    has = np.diff(bounds) > 2
+    for k, w in enumerate(WIDTHS):
+        d, where = back[has, k * FILTERS : (k + 1) * FILTERS], at[has, k * FILTERS : (k + 1) * FILTERS]
+        for j in range(w):
+            for row in rows[:, where + j]:  # texts x FILTERS
+                out[f"f{w}"][j] += np.einsum("tf,tfe->ef", d, net.embed[row])
+                np.add.at(out["embed"], row, d[:, :, None] * net.filters[w][j].T[None])
+    return out
+
+
 def fit(docs: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> Net:
     rng = np.random.default_rng(seed)
     seen = np.zeros(2 * HASHED, np.int32)
@@ -134,14 +148,7 @@ def fit(docs: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> Net:
             p = 1 / (1 + np.exp(-np.clip(hidden @ net.out + net.shift, -30, 30)))
             delta = ((p - toxic[which]) / len(which)).astype(np.float32)
             back = (delta[:, None] * net.out) * (active > 0) * drop
-            grads = {"out": hidden.T @ delta, "bias": back.sum(0), "embed": np.zeros_like(net.embed), **{f"f{w}": np.zeros_like(net.filters[w]) for w in WIDTHS}}
-            has = np.diff(bounds) > 2
-            for k, w in enumerate(WIDTHS):
-                d, where = back[has, k * FILTERS : (k + 1) * FILTERS], at[has, k * FILTERS : (k + 1) * FILTERS]
-                for j in range(w):
-                    for row in rows[:, where + j]:  # texts x FILTERS
-                        grads[f"f{w}"][j] += np.einsum("tf,tfe->ef", d, net.embed[row])
-                        np.add.at(grads["embed"], row, d[:, :, None] * net.filters[w][j].T[None])
+            grads = gradients(net, rows, bounds, at, hidden, delta, back)
             step += 1
             for k, p_ in params.items():
                 g = grads[k] + DECAY * p_
