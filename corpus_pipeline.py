@@ -1,6 +1,9 @@
 """From documents to packed training sequences: each stage's result is written as Parquet and read by the next.
 
-Null doc_ids pass every filter. Empty tables pass through. Rows that repeat one doc_id are one document.
+In every stage but the last: rows with a null doc_id are kept; null and empty texts are kept; very long texts are read
+whole; rows that repeat one doc_id are one document, rejected or kept together (near-duplicate copies under one id all
+stay); ties go to the smallest doc_id, in lines to the earliest; extra columns come through whatever their names; an
+empty table gives an empty one. The last stage packs every row it gets, a null text as its end id alone.
 """
 
 from __future__ import annotations
@@ -65,7 +68,7 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Trained scores and tokenization aren't SQL; tests hold the stages against brute force instead.
+#: Trained scores and tokenization aren't SQL; tests/llm/test_pipeline.py holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
