@@ -1,9 +1,10 @@
 """From documents to packed training sequences: each stage's result is written as Parquet and read by the next.
 
-In every stage but the last: rows with a null doc_id are kept; null and empty texts are kept; very long texts are read
-whole; rows that repeat one doc_id are one document, rejected or kept together (near-duplicate copies under one id all
-stay); ties go to the smallest doc_id, in lines to the earliest; extra columns come through whatever their names; an
-empty table gives an empty one. The last stage packs every row it gets, a null text as its end id alone.
+Toxicity judges every row by its text and language, whatever its doc_id. The next three stages go by doc_id: rows with a
+null one pass, and rows that repeat one are rejected or kept together (copies under one id all stay). In these four null
+and empty texts are kept, very long ones are read whole, ties go to the smallest doc_id, in lines to the earliest,
+extra columns come through whatever their names, and an empty table gives an empty one. The last stage packs every row
+that it gets, a null text as its end id alone.
 """
 
 from __future__ import annotations
