@@ -11,8 +11,8 @@ Two lines within the bound have either equal variants at an equal place (substit
 that has an earlier one is then held against that one, word by word, and the edit distance is verified.
 
 With two edits, lines that share a third at about its place are candidates. Where at most HOT lines share it, their pairs
-are compared; the lines of larger groups emit the variants of two deletions that a line with this third may share, and the
-earliest is again a grouped minimum.
+are compared; the lines of larger groups are keyed again by their third and a part of what it leaves. In groups that are
+still larger, lines emit the variants of two deletions outside of what they share, and the earliest is again a grouped minimum.
 
 Hashes of lines are sums of scrambled (word, place) pairs, not polynomials; two of 64 bits are compared.
 
@@ -122,19 +122,47 @@ def third_keys(sums: Sums) -> np.ndarray:
     return out
 
 
-def needed(keys: np.ndarray, n: int, hot: set[int], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Of the deletions i < j of a line of n words with these 12 keys of thirds, those that a partner under a hot key needs.
-    Equal words at the front, or at the back, can always be kept (taking them away changes no distance); with an equal
-    middle and neither outer third equal, one edit is in front of it and one behind."""
-    out, at = np.zeros(len(i), bool), 0
-    for more, shifts in ((0, (-1, 0, 1)), (1, (-1, 0)), (2, (-1,))):
-        third = (n + more) // 6 * 2
-        tests = [lambda: i >= third, lambda: j < n - third, *((lambda k=k: (i < third + k) & (j >= 2 * third + k)) for k in shifts)]
-        for test in tests:
-            if int(keys[at]) in hot:
-                out |= test()
-            at += 1
-    return out
+_THIRDS = ((0, (-1, 0, 1)), (1, (-1, 0)), (2, (-1,)))  # words added to the length, shifts of the middle: as third_keys goes
+
+
+def second_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray, hot: list[set[int]]):
+    """(line, key, i from, to, j from, to) for lines with crowded keys of thirds, `hot`: such a key joined with one of what
+    it leaves, and where a partner under both may need words i < j deleted. Equal words at the front, or at the back, can
+    be taken away without changing a distance, and two edits leave a third of the rest; with an equal middle and neither
+    outer third equal, one edit is in front of it and one behind, and each leaves a half of its part."""
+    keys, col, out = third_keys(Sums(words, first, size)), 0, []
+    for more, shifts in _THIRDS:
+        for kind, k in ((0, 0), (1, 0), *((2, k) for k in shifts)):
+            own = keys[:, col].view(np.int64) if keys.flags.c_contiguous else keys[:, col].copy().view(np.int64)
+            mine = np.array([r for r, (x, h) in enumerate(zip(own.tolist(), hot)) if x in h], np.int64)
+            col += 1
+            if not len(mine):
+                continue
+            n, at, key = size[mine], first[mine], keys[mine, col - 1]
+            t = (n + more) // 6 * 2
+            if kind < 2:
+                lo, m = t * (kind == 0), n - t
+                hi, sub, c = lo + m, third_keys(Sums(words, at + lo, m)), 0
+                for more2, shifts2 in _THIRDS:
+                    u = (m + more2) // 6 * 2
+                    for reach in ((lo + u, hi, lo + u, hi), (lo, hi - u, lo, hi - u), *((lo, lo + u + j, lo + 2 * u + j, hi) for j in shifts2)):
+                        out.append((mine, mix(key ^ mix(sub[:, c])), *reach))
+                        c += 1
+            else:
+                a, b = t + k, 2 * t + k
+                front, back = half_keys(Sums(words, at, a)), half_keys(Sums(words, at + b, n - b))
+                for p in range(4):
+                    for q in range(4):
+                        h, g = (a - 1 + p // 2) // 2, (n - b - 1 + q // 2) // 2
+                        i = (h, a) if p % 2 == 0 else (a * 0, a - h)
+                        j = (b + g, n) if q % 2 == 0 else (b, n - g)
+                        some = (front[:, p] != 0) & (back[:, q] != 0)
+                        out.append(tuple(x[some] for x in (mine, mix(key ^ mix(front[:, p] + U64(3) * back[:, q])), *i, *j)))
+    none = np.zeros(0, np.int64)
+    if not out:
+        return none, none, none, none, none, none
+    line, key, *reach = (np.concatenate([o[k] for o in out]) for k in range(6))
+    return line, key.view(np.int64), *reach
 
 
 def _lists(keys: np.ndarray, has: np.ndarray) -> pa.ListArray:
@@ -312,9 +340,25 @@ def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return arrow_map(_with_lines(docs, wanted), run, "doc_id long, line int, words array<long>, keys array<long>")
 
 
+def _seconds(lines: DataFrame) -> DataFrame:
+    """lines (doc_id, line, words, hot) with `seconds`, the distinct second keys of their hot ones."""
+
+    def run(batches):
+        for batch in batches:
+            for part in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
+                told = [np.array(w, np.int64).view(U64) for w in part.column(2).to_pylist()]
+                size = np.array([len(w) for w in told])
+                first = np.concatenate(([0], np.cumsum(size)[:-1]))
+                line, key, *_ = second_keys(np.concatenate(told), first, size, [set(h) for h in part.column(3).to_pylist()])
+                each = [np.unique(key[line == k]) for k in range(len(told))]
+                yield pa.record_batch([*part.columns, pa.array(each, pa.list_(pa.int64()))], ["doc_id", "line", "words", "hot", "seconds"])
+
+    return arrow_map(lines.select("doc_id", "line", "words", "hot"), run, "doc_id long, line int, words array<long>, hot array<long>, seconds array<long>")
+
+
 def _two_deletions(lines: DataFrame) -> DataFrame:
-    """(v, check, g, h, doc_id, line) of lines (doc_id, line, words, hot): each line less none, one and two words; g <= h
-    are the gaps in what remains, or -1. Of the pairs of words, those that its hot keys need."""
+    """(v, check, g, h, doc_id, line) of lines (doc_id, line, words, hot, crowded): each line less none, one and two words;
+    g <= h are the gaps in what remains, or -1. Of the pairs of words, those that its crowded second keys need."""
 
     def rows(batch, k, columns):
         one = [pa.array(c.view(np.int64)) if c.dtype == U64 else pa.array(c.astype(np.int32)) for c in columns]
@@ -324,22 +368,25 @@ def _two_deletions(lines: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                words, hot = np.array(batch.column(2)[k].as_py(), np.int64).view(U64), set(batch.column(3)[k].as_py())
+                words = np.array(batch.column(2)[k].as_py(), np.int64).view(U64)
                 n = len(words)
                 sums = Sums(words, np.array([0]), np.array([n]))
-                keys = third_keys(sums)[0].view(np.int64)
+                _, key, *reach = second_keys(words, np.array([0]), np.array([n]), [set(batch.column(3)[k].as_py())])
+                reach = {*zip(*(r[np.isin(key, batch.column(4)[k].as_py())].tolist() for r in reach))}
                 yield rows(batch, k, [*(np.append(sums.less_one(s), sums.whole(s)) for s in SEEDS), np.append(sums.place, -1), np.full(n + 1, -1)])
                 totals = [[sums.behind(d, s) for d in range(3)] for s in SEEDS]
                 step = max(1, (1 << 18) // n)
                 for at in range(0, n - 1, step):
                     every = np.arange(at, min(at + step, n - 1))
-                    i, j = np.repeat(every, n - 1 - every), np.concatenate([np.arange(x + 1, n) for x in every.tolist()])
-                    of_use = needed(keys, n, hot, i, j)
-                    i, j = i[of_use], j[of_use]
+                    of_use = np.zeros((len(every), n), bool)
+                    for i_lo, i_hi, j_lo, j_hi in reach:
+                        of_use[max(i_lo - at, 0) : max(i_hi - at, 0), j_lo:j_hi] = True
+                    i, j = np.nonzero(of_use & (every[:, None] < np.arange(n)))
+                    i = every[i]
                     cut = [mix((a[i] + (b[j] - b[i + 1]) + (c[n] - c[j + 1])) ^ mix(np.array([n - 2], U64))) for a, b, c in totals]
                     yield rows(batch, k, [*cut, i, j - 1])
 
-    return arrow_map(lines.select("doc_id", "line", "words", "hot"), run, "v long, check long, g int, h int, doc_id long, line int")
+    return arrow_map(lines.select("doc_id", "line", "words", "hot", "crowded"), run, "v long, check long, g int, h int, doc_id long, line int")
 
 
 def _close_in_hot(lines: DataFrame) -> DataFrame:
@@ -373,17 +420,26 @@ def close_by_two(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     held = written(_word_lists(docs, wanted), "word_lists")
     discard(wanted)
     release(docs.sparkSession)
-    keyed = held.select(F.explode("keys").alias("key"), F.struct("doc_id", "line").alias("at"), F.size("words").alias("n"))
+    pairs, hot, keyed = _by_keys(held, "keys")
+    hot = held.select("doc_id", "line", "words").join(hot.withColumnRenamed("crowded", "hot"), ["doc_id", "line"])
+    seconds = written(_seconds(hot), "seconds")
+    more, crowded, again = _by_keys(seconds, "seconds")
+    last = _close_in_hot(seconds.drop("seconds").join(crowded, ["doc_id", "line"]))
+    out = written(verified(pairs.unionByName(more).unionByName(last).distinct(), held, 2), "close_by_two")
+    discard(held, keyed, seconds, again)
+    return out
+
+
+def _by_keys(lines: DataFrame, keys: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of lines (doc_id, line, words, keys): the pairs (first, least) that share a key of at most HOT lines and may be within
+    two edits by their lengths; (doc_id, line, crowded), the keys of lines that more share; the written stage of both."""
+    keyed = lines.select(F.explode(keys).alias("key"), F.struct("doc_id", "line").alias("at"), F.size("words").alias("n"))
     counts = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    keyed = written(keyed.join(counts, "key"), "thirds")
-    hot = keyed.where(F.col("c") > HOT).groupBy("at.doc_id", "at.line").agg(F.collect_set("key").alias("hot"))
+    keyed = written(keyed.join(counts, "key"), keys)
     cold = keyed.where(F.col("c") <= HOT)
     other = cold.select("key", F.col("at").alias("least"), F.col("n").alias("m"))
     pairs = cold.join(other, "key").where((F.col("least") < F.col("at")) & (F.abs(F.col("n") - F.col("m")) <= 2)).select(F.col("at").alias("first"), "least")
-    pairs = pairs.unionByName(_close_in_hot(held.select("doc_id", "line", "words").join(hot, ["doc_id", "line"]))).distinct()
-    out = written(verified(pairs, held, 2), "close_by_two")
-    discard(held, keyed)
-    return out
+    return pairs, keyed.where(F.col("c") > HOT).groupBy("at.doc_id", "at.line").agg(F.collect_set("key").alias("crowded")), keyed
 
 
 def dropped(docs: DataFrame, min_near: int = MIN_NEAR, edits: int = 1) -> DataFrame:
