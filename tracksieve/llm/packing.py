@@ -31,7 +31,7 @@ from .common import arrow_map, free, table, written
 from .textvec import batches_of, buffers, compacted, joined_values
 
 CAPACITY = 2048
-MOST_WORDS = 200_000  # that a worker keeps the ids of; then it starts anew
+MOST_WORDS = 500_000  # that a worker keeps the ids of; then it starts anew
 # Symbol classes of the pre-tokenizer within Latin-1.
 _WHITE, _LETTER, _NUMBER, _OTHER = range(4)
 
@@ -156,7 +156,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every row of (doc_id, text)."""
 
     def run(batches):
-        for batch in batches_of(batches, 1 << 20):
+        for batch in batches_of(batches, 2 << 20):
             cols: list[list] = [[], [], [], [], [], []]
             every, bounds = words_of(path).encode(batch.column(1))
             for doc, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
