@@ -55,6 +55,14 @@ def test_records_stats_and_summary(flow):
     assert {r["weight"] for r in flow.pool().collect()} <= {1.0, 2.0}
 
 
+def test_representatives_of_equal_tracklets_go_by_seq(spark):
+    """Two tracklets of one size tie by their distance from the mean, also if one's norm is off by a float's precision."""
+    vectors_of = [[1.0, 0.0], [0.96 * (1 + 1e-6), 0.28 * (1 + 1e-6)]]
+    crops = spark.createDataFrame([crop(s, "v", "logo", s % 2, vectors_of[s % 2]) for s in range(12)], CROP)
+    members = spark.createDataFrame([("v", "logo", 0, 0, 0), ("v", "logo", 1, 1, 0)], "video_path string, entity_type string, track_id long, node long, component long")
+    assert {r["seq"] for r in phases.representatives(members, crops).collect()} == {0, 1, 2, 3, 4}
+
+
 def test_no_tracklets_give_nothing(spark, flow):
     none = phases.Flow(flow.crops.where("false"), spark.createDataFrame([], "entity_type string, name string, idx int, vector array<double>"), CONFIG)
     assert none.clusters.count() == 0 and none.records.count() == 0 and none.stats.count() == 0

@@ -13,9 +13,8 @@ def norm(a) -> Column:
 
 
 def unit(a, guard: float = 0.0) -> Column:
-    """a / (norm + guard); a zero vector stays as it is."""
-    size = norm(a)
-    return F.when(size > 0, F.transform(a, lambda x: x.cast("double") / (size + guard))).otherwise(F.transform(a, lambda x: x.cast("double")))
+    """a / (norm + guard); a zero vector stays as it is. The norm is bound outside, or it would be computed for each element."""
+    return F.transform(F.array(norm(a)), lambda n: F.transform(a, lambda x: F.when(n > 0, x.cast("double") / (n + guard)).otherwise(x.cast("double"))))[0]
 
 
 def sums(df: DataFrame, keys: list[str], vector: str = "embedding") -> DataFrame:

@@ -109,8 +109,10 @@ def assembled(members: DataFrame) -> DataFrame:
 
 
 def representatives(members: DataFrame, crops: DataFrame, n: int = 5) -> DataFrame:
-    """(video_path, component, seq, embedding): of each cluster the n crops nearest its mean; all if there are no more."""
-    own = crops.join(members.select(*TRACK, "component", "node"), TRACK).select("video_path", "component", "seq", "embedding")
+    """(video_path, component, seq, embedding): of each cluster the n crops nearest its mean; all if there are no more.
+    Crops count as unit vectors in double: as floats they are that only nearly, and two tracklets of one size, which tie by
+    their distance from the mean of both, would be told apart by what their norms lack, not by seq."""
+    own = crops.join(members.select(*TRACK, "component"), TRACK).select("video_path", "component", "seq", vectors.unit("embedding").alias("embedding"))
     means = mean_vectors(own, CLUSTER, guard=1e-9)
     near = own.join(means, CLUSTER).withColumn("sim", F.round(vectors.dot("embedding", "mean_embedding"), 9))
     return funnel.capped(near, CLUSTER, [F.desc("sim"), F.col("seq")], n).select(*CLUSTER, "seq", "embedding")
