@@ -539,6 +539,53 @@ def test_lines_two_edits_against_brute_force(spark, monkeypatch):
         assert {r["doc_id"] for r in lines.dropped(docs, edits=2).collect()} == want
 
 
+def test_lines_crowded_groups_emit_by_their_differences(spark, monkeypatch):
+    """Near copies of one long line, and lines of all lengths that share a long passage: the same lines as by brute force, and
+    far fewer variants than pairs of words."""
+    rng = np.random.default_rng(11)
+    base, passage, fresh = [f"w{i}" for i in range(100)], [f"p{i}" for i in range(60)], iter(range(1 << 20))
+    texts = [list(base) for _ in range(90)]
+    for words in texts:
+        for at in rng.integers(0, 100, rng.integers(1, 5)):
+            words[at] = f"x{rng.integers(0, 3)}"
+    texts += [[f"c{next(fresh)}" for _ in range(8 + k % 4)] + passage for k in range(160)]
+    for k in range(90, 130, 5):  # partners of another length, the context and the passage changed
+        texts.append(texts[k][1:9] + ["new"] + texts[k][9:])
+        texts.append([*texts[k][:3], *texts[k][4:40], *texts[k][41:]])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    flat = lambda ts: (np.array([hash(w) for t in ts for w in t]), np.cumsum([0, *map(len, ts)]))
+    want = {i for i, t in enumerate(texts) if i and lines.within(flat([t] * i), flat(texts[:i]), 2).any()}
+    counts, real = {}, lines.written
+
+    def counted(df, name):
+        out = real(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(lines, "written", counted)
+    assert {r["doc_id"] for r in lines.dropped(docs, edits=2).collect()} == want and len(want) > 40
+    assert counts["two_deletions"] < 200 * len(texts)
+
+
+def test_lines_edit_bound_against_distances():
+    """Pairs of short lists over three words, some empty, against edit distances."""
+    rng = np.random.default_rng(3)
+    a = [rng.integers(0, 3, rng.integers(0, 9)).tolist() for _ in range(4000)]
+    b = [[w for w in x if rng.random() < 0.9] + rng.integers(0, 3, rng.integers(0, 2)).tolist() for x in a]
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, v in enumerate(x, 1):
+            last, row = row, [i]
+            for j, w in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (v != w)))
+        return row[-1]
+
+    flat = lambda ts: (np.array([w for t in ts for w in t]), np.cumsum([0, *map(len, ts)]))
+    for edits in (1, 2):
+        assert lines.within(flat(a), flat(b), edits).tolist() == [distance(x, y) <= edits for x, y in zip(a, b)]
+
+
 def test_lines_hot_half_over_partitions_and_both_joins(spark):
     rng = random.Random(7)
     texts = ["same front half of lines " + " ".join(rng.choice("abcdef") for _ in range(rng.randint(4, 6))) for _ in range(300)]

@@ -10,9 +10,10 @@ Two lines within the bound have either equal variants at an equal place (substit
 (insertion): the earliest is a grouped minimum per variant, so no pairs are formed however many lines share it. Each line
 that has an earlier one is then held against that one, word by word, and the edit distance is verified.
 
-With two edits, lines that share a third at about its place are candidates. Where at most HOT lines share it, their pairs
-are compared; the lines of larger groups emit the variants of two deletions that a line with this third may share, and the
-earliest is again a grouped minimum.
+With two edits, lines that share a third at about its place are candidates, length by length. Where at most HOT lines of
+one of two lengths share it, their pairs are compared. Else lines of one length emit their variants of one deletion and,
+for two substitutions, where they differ from the first of them, less any two of these places; of two lengths the longer
+lines emit the variants of two deletions that a line with this third may share. The earliest is again a grouped minimum.
 
 Hashes of lines are sums of scrambled (word, place) pairs, not polynomials; two of 64 bits are compared.
 
@@ -34,7 +35,8 @@ from .textvec import SPACE_SEPARATORS, U64, batches_of, buffers, lut, mix, segme
 
 MIN_NEAR = 8  # words of lines whose near copies are looked for
 TWO_EDITS = 16  # words from which edits=2 allows two
-HOT = 32  # lines of a shared third whose pairs are compared
+GRID = 4  # words by which ends of lines are told apart
+HOT = 32  # lines of one length and a shared third whose pairs are compared
 _STEP = U64(0xD1B54A32D192ED03)
 SEEDS = (U64(0x2545F4914F6CDD1D), U64(0x9FB21C651E98DF25))  # of the hash and of the one that checks it
 _BACK, _BAG = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
@@ -250,15 +252,38 @@ def neighbourhoods(docs: DataFrame, wanted: DataFrame, min_near: int = MIN_NEAR)
     return arrow_map(_with_lines(docs, wanted), run, "v long, check long, place int, doc_id long, line int, words array<long>")
 
 
-def within(a: list, b: list, edits: int) -> bool:
-    """Whether at most so many words inserted, deleted or substituted turn a into b."""
-    n = min(len(a), len(b))
-    i = next((k for k in range(n) if a[k] != b[k]), n)
-    j = next((k for k in range(n - i) if a[-1 - k] != b[-1 - k]), n - i)
-    a, b = a[i : len(a) - j], b[i : len(b) - j]
-    if not a or not b or abs(len(a) - len(b)) > edits:
-        return max(len(a), len(b)) <= edits
-    return edits > 0 and (within(a[1:], b[1:], edits - 1) or within(a[1:], b, edits - 1) or within(a, b[1:], edits - 1))
+def within(a: tuple, b: tuple, edits: int) -> np.ndarray:
+    """For lists of words a and b, each (flat words, offsets), pair by pair whether at most one or two words inserted,
+    deleted or substituted turn one into the other. Equal words at the front and at the back are taken away; of two edits
+    one is then at the front and one at the back, and what is between them is equal."""
+    (x, i), (y, j) = ((words, offsets[:-1]) for words, offsets in (a, b))
+    n, m = np.diff(a[1]), np.diff(b[1])
+
+    def differ(i, j, size):  # (pair, place) where runs of the words differ
+        pair = np.repeat(np.arange(len(size)), size)
+        place = np.arange(len(pair)) - (np.cumsum(size) - size)[pair]
+        bad = np.flatnonzero(x[i[pair] + place] != y[j[pair] + place])
+        return pair[bad], place[bad]
+
+    front = np.minimum(n, m)
+    pair, place = differ(i, j, front)
+    np.minimum.at(front, pair, place)
+    back = np.minimum(n, m) - front
+    pair, place = differ(i + n - back, j + m - back, back)
+    last = np.full(len(n), -1)
+    np.maximum.at(last, pair, place)
+    back = back - 1 - last
+    i, j, n, m = i + front, j + front, n - front - back, m - front - back
+    out = np.maximum(n, m) <= edits
+    if edits > 1:
+        open_ = np.flatnonzero(~out & (np.minimum(n, m) > 0))
+        for p, q in ((1, 1), (1, 0), (0, 1)):  # words of a and b that the first edit takes
+            for r, s in ((1, 1), (1, 0), (0, 1)):  # and the last one
+                at = open_[(n - p - r)[open_] == (m - q - s)[open_]]
+                same = np.ones(len(at), bool)
+                same[differ(i[at] + p, j[at] + q, n[at] - p - r)[0]] = False
+                out[at] |= same
+    return out
 
 
 def verified(pairs: DataFrame, held: DataFrame, edits: int) -> DataFrame:
@@ -268,8 +293,8 @@ def verified(pairs: DataFrame, held: DataFrame, edits: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            take = [within(a.as_py(), b.as_py(), edits) for a, b in zip(batch.column(2), batch.column(3))]
-            yield pa.record_batch([c.filter(pa.array(take, pa.bool_())) for c in batch.columns[:2]], ["doc_id", "line"])
+            a, b = ((c.flatten().to_numpy(), np.concatenate(([0], np.cumsum(c.value_lengths().to_numpy())))) for c in batch.columns[2:])
+            yield pa.record_batch([c.filter(pa.array(within(a, b, edits))) for c in batch.columns[:2]], ["doc_id", "line"])
 
     return arrow_map(both, run, "doc_id long, line int").select(F.struct("doc_id", "line").alias("first"))
 
@@ -313,8 +338,9 @@ def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _two_deletions(lines: DataFrame) -> DataFrame:
-    """(v, check, g, h, doc_id, line) of lines (doc_id, line, words, hot): each line less none, one and two words; g <= h
-    are the gaps in what remains, or -1. Of the pairs of words, those that its hot keys need."""
+    """(v, check, g, h, doc_id, line) of lines (doc_id, line, words, hot, front, back): each line less none and one word, and
+    less those two words that its hot keys need, the first one within `front` words and the last one within `back` words
+    from the end; g <= h are the gaps in what remains, or -1."""
 
     def rows(batch, k, columns):
         one = [pa.array(c.view(np.int64)) if c.dtype == U64 else pa.array(c.astype(np.int32)) for c in columns]
@@ -329,25 +355,69 @@ def _two_deletions(lines: DataFrame) -> DataFrame:
                 sums = Sums(words, np.array([0]), np.array([n]))
                 keys = third_keys(sums)[0].view(np.int64)
                 yield rows(batch, k, [*(np.append(sums.less_one(s), sums.whole(s)) for s in SEEDS), np.append(sums.place, -1), np.full(n + 1, -1)])
+                if not hot:
+                    continue
                 totals = [[sums.behind(d, s) for d in range(3)] for s in SEEDS]
                 step = max(1, (1 << 18) // n)
-                for at in range(0, n - 1, step):
-                    every = np.arange(at, min(at + step, n - 1))
+                front, back = batch.column(4)[k].as_py(), batch.column(5)[k].as_py()
+                for at in range(0, min(front, n - 1), step):
+                    every = np.arange(at, min(at + step, front, n - 1))
                     i, j = np.repeat(every, n - 1 - every), np.concatenate([np.arange(x + 1, n) for x in every.tolist()])
-                    of_use = needed(keys, n, hot, i, j)
+                    of_use = (j >= n - back) & needed(keys, n, hot, i, j)
                     i, j = i[of_use], j[of_use]
                     cut = [mix((a[i] + (b[j] - b[i + 1]) + (c[n] - c[j + 1])) ^ mix(np.array([n - 2], U64))) for a, b, c in totals]
                     yield rows(batch, k, [*cut, i, j - 1])
 
-    return arrow_map(lines.select("doc_id", "line", "words", "hot"), run, "v long, check long, g int, h int, doc_id long, line int")
+    return arrow_map(lines.select("doc_id", "line", "words", "hot", "front", "back"), run, "v long, check long, g int, h int, doc_id long, line int")
+
+
+def _with_ends(lines: DataFrame) -> DataFrame:
+    """lines (doc_id, line, words, hot) with front and back: bounds of how many words from its front, and from its end, a line
+    can keep beside another of them. As equal words at both ends can be kept, the first of two edits is where the equal
+    words at the front end, and the last one where those at the end begin."""
+    n = F.size("words")
+    ends = F.when(n >= GRID, F.flatten(F.transform(F.sequence(F.lit(GRID), n, F.lit(GRID)), lambda k: F.array(
+        F.struct(F.lit(0).alias("side"), k.alias("k"), F.xxhash64(F.slice("words", F.lit(1), k)).alias("h")), F.struct(F.lit(1).alias("side"), k.alias("k"), F.xxhash64(F.slice("words", n - k + 1, k)).alias("h"))
+    ))))
+    each = lines.select("doc_id", "line", F.explode(ends).alias("e")).select("doc_id", "line", "e.*")
+    met = each.join(each.groupBy("side", "k", "h").agg(F.count("*").alias("c")).where("c > 1"), ["side", "k", "h"])
+    most = lambda side: F.coalesce(F.max(F.when(F.col("side") == side, F.col("k"))), F.lit(0)).alias(f"e{side}")
+    out = lines.join(met.groupBy("doc_id", "line").agg(most(0), most(1)), ["doc_id", "line"], "left")
+    return out.select(*lines.columns, *[(F.coalesce(f"e{side}", F.lit(0)) + GRID).alias(name) for side, name in ((0, "front"), (1, "back"))])
 
 
-def _close_in_hot(lines: DataFrame) -> DataFrame:
+def _less_differences(lines: DataFrame) -> DataFrame:
+    """(v, check, g, h, doc_id, line) of lines (doc_id, line, words, centre): where a line differs from its centre, a line of
+    its length, less none, one and two of these places; g < h are the places, or -1. Lines of one centre that differ from
+    each other at most at two places have equal rests without those places, and neither lists one at which it equals the
+    centre: so a line has as many rows as pairs of differences, not of words."""
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words, centre = (np.array(batch.column(c)[k].as_py(), np.int64).view(U64) for c in (2, 3))
+                at = np.flatnonzero(words != centre)
+                i, j = np.triu_indices(len(at), 1)
+                cols = []
+                for seed in SEEDS:
+                    places = mix(np.arange(len(words), dtype=U64) * _STEP + seed)
+                    about, each = mix(mix(centre ^ places).sum(dtype=U64) ^ _BAG), mix(words[at] ^ places[at])
+                    total = each.sum(dtype=U64)
+                    cols.append(pa.array(mix(np.concatenate(([total], total - each, total - each[i] - each[j])) ^ about).view(np.int64)))
+                for gap in ((at, at[i]), (np.full(len(at), -1), at[j])):
+                    cols.append(pa.array(np.concatenate(([-1], *gap)).astype(np.int32)))
+                same = pa.array(np.zeros(len(cols[0]), np.int64) + k)
+                yield pa.record_batch([*cols, batch.column(0).take(same), batch.column(1).take(same)], ["v", "check", "g", "h", "doc_id", "line"])
+
+    return arrow_map(lines.select("doc_id", "line", "words", "centre"), run, "v long, check long, g int, h int, doc_id long, line int")
+
+
+def _close_in_hot(lines: DataFrame, centred: DataFrame) -> DataFrame:
     """(first, least): lines with an earlier one within two edits, without pairs. The words deleted from two lines with one
     remainder cost, gap by gap, the larger of their numbers: at two edits, one line's gaps with two deletions hold the
-    other's, or both have one deletion or none."""
+    other's, or both have one deletion or none. The same goes for places at which lines differ from a centre."""
     order = F.struct("doc_id", "line")
-    every = written(_two_deletions(lines), "two_deletions")
+    every = written(_two_deletions(_with_ends(lines)).unionByName(_less_differences(centred)), "two_deletions")
     shared = written(every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v"), "two_shared")
     live = written(every.join(shared, "v"), "two_live")  # the few that may have a partner
     discard(every, shared)
@@ -374,15 +444,23 @@ def close_by_two(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     discard(wanted)
     release(docs.sparkSession)
     keyed = held.select(F.explode("keys").alias("key"), F.struct("doc_id", "line").alias("at"), F.size("words").alias("n"))
-    counts = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    keyed = written(keyed.join(counts, "key"), "thirds")
-    hot = keyed.where(F.col("c") > HOT).groupBy("at.doc_id", "at.line").agg(F.collect_set("key").alias("hot"))
-    cold = keyed.where(F.col("c") <= HOT)
-    other = cold.select("key", F.col("at").alias("least"), F.col("n").alias("m"))
-    pairs = cold.join(other, "key").where((F.col("least") < F.col("at")) & (F.abs(F.col("n") - F.col("m")) <= 2)).select(F.col("at").alias("first"), "least")
-    pairs = pairs.unionByName(_close_in_hot(held.select("doc_id", "line", "words").join(hot, ["doc_id", "line"]))).distinct()
+    sizes = written(keyed.groupBy("key", "n").agg(F.count("*").alias("c"), F.min("at").alias("centre")), "third_sizes")
+    longer = sizes.select("key", F.col("n").alias("m"), F.col("c").alias("d"))
+    classes = sizes.withColumn("m", F.explode(F.array(F.col("n"), F.col("n") + 1, F.col("n") + 2))).join(longer, ["key", "m"]).where("n < m or c > 1")
+    classes = written(classes.withColumn("hot", F.least("c", "d") > HOT), "third_classes")
+    keyed = written(keyed.join(classes.select("key", F.explode(F.array("n", "m")).alias("n")).distinct(), ["key", "n"]), "thirds")
+    one, two = keyed.select("key", "n", F.col("at").alias("a")), keyed.select("key", F.col("n").alias("m"), F.col("at").alias("b"))
+    pairs = one.join(classes.where("not hot").select("key", "n", "m"), ["key", "n"]).join(two, ["key", "m"]).where("n < m or a < b")
+    pairs = pairs.select(F.greatest("a", "b").alias("first"), F.least("a", "b").alias("least")).distinct()
+    crowded, words = classes.where("hot"), held.select("doc_id", "line", "words")
+    # Of two lengths the longer lines need variants of two deletions; the shorter ones, and those of one length, of one.
+    part = crowded.select("key", "n", F.lit(False).alias("most")).unionByName(crowded.where("n < m").select("key", F.col("m").alias("n"), F.lit(True).alias("most")))
+    hot = keyed.join(part, ["key", "n"]).groupBy("at.doc_id", "at.line").agg(F.collect_set(F.when(F.col("most"), F.col("key"))).alias("hot"))
+    near = keyed.join(crowded.where("n = m").select("key", "n", "centre"), ["key", "n"]).select("at.doc_id", "at.line", "centre").distinct()
+    near = near.join(held.select(F.struct("doc_id", "line").alias("centre"), F.col("words").alias("_w")), "centre").select("doc_id", "line", F.col("_w").alias("centre"))
+    pairs = pairs.unionByName(_close_in_hot(words.join(hot, ["doc_id", "line"]), words.join(near, ["doc_id", "line"]))).distinct()
     out = written(verified(pairs, held, 2), "close_by_two")
-    discard(held, keyed)
+    discard(held, sizes, classes, keyed)
     return out
 
 
