@@ -63,6 +63,17 @@ def test_representatives_of_equal_tracklets_go_by_seq(spark):
     assert {r["seq"] for r in phases.representatives(members, crops).collect()} == {0, 1, 2, 3, 4}
 
 
+def test_values_rounded_before_round_as_in_sql(spark):
+    """Nine places to six: a tie in decimal, but the double is scaled first."""
+    import duckdb
+
+    values = [0.1309425, -0.1309425, 0.0000005, -0.0000015, 0.1234565, 2.5e-7, 1.0, 0.0, 1e300, float("inf")] + [(2 * k + 1) / 2e6 for k in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    sql = duckdb.sql(f"SELECT round(unnest({[str(v) for v in values]}::DOUBLE[]), 6)").fetchall()
+    assert [r[0] for r in df.select(scores.rounded("v", 6)).collect()] == [r[0] for r in sql]
+    assert [r[0] for r in df.select(F.round("v", 6)).collect()] != [r[0] for r in sql]
+
+
 def test_no_tracklets_give_nothing(spark, flow):
     none = phases.Flow(flow.crops.where("false"), spark.createDataFrame([], "entity_type string, name string, idx int, vector array<double>"), CONFIG)
     assert none.clusters.count() == 0 and none.records.count() == 0 and none.stats.count() == 0

@@ -29,7 +29,7 @@ def query(sql: str | None = None):
 
 
 def r6(c) -> F.Column:
-    return F.round(c, 6)
+    return scores.rounded(c, 6)
 
 
 def embeddings(spark: SparkSession, d: str) -> DataFrame:
