@@ -7,7 +7,7 @@ from tracksieve.config import CONFIG, DOCUMENTED
 from tracksieve.functions import scores, vectors
 from tracksieve.operators import funnel, graph, monitor
 from tracksieve.operators.tracker import Tracker
-from tracksieve.plans import catalogue
+from tracksieve.plans import catalogue, stages
 
 
 def test_gate_bounds(spark):
@@ -90,3 +90,19 @@ def test_replay_buffer_has_the_set_size(spark):
     n = catalogue.pool(spark, "/root/testdata/sf0.01").count()
     assert 1000 < n < CONFIG.replay_buffer_size and catalogue.QUERIES["q_replay_buffer_config"](spark, "/root/testdata/sf0.01").count() == n
     assert catalogue.QUERIES["q_replay_buffer_config"](spark, "/root/testdata/sf0.1").count() == CONFIG.replay_buffer_size
+
+
+def test_release_collects_garbage_on_executors(spark):
+    """A task a core has its JVM collect, after the driver's own collection; here all of them are one JVM."""
+    sc = spark.sparkContext
+    beans = sc._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    count = lambda: sum(b.getCollectionCount() for b in beans() if "Young" not in b.getName())
+    before = count()
+    sc.setJobGroup("release", "release")
+    try:
+        stages.release(spark)
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("release")]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds) == sc.defaultParallelism
+    assert count() >= before + 2

@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -48,9 +49,12 @@ def discard(*stages: DataFrame) -> None:
 
 def release(spark: SparkSession) -> None:
     """Has the driver collect its garbage: shuffle files of plans that nobody holds any more go from the executors'
-    disks, which otherwise happens whenever the driver's heap next fills. For after a stage, not within loops."""
+    disks, which otherwise happens whenever the driver's heap next fills. Then the executors, a task a core: each gives
+    back what its heap had grown by, and the direct buffers that it has dropped. For after a stage, not within loops."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
 
 
 def ship(spark: SparkSession) -> None:
