@@ -13,24 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracksieve.llm import decontam, lines, neardup, packing, toxicity
-from tracksieve.llm.common import discard, free, release, table, written
+from tracksieve.llm.common import discard, free, keeping, release, table, written
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """docs less the rows whose doc_id is rejected."""
+    """docs less the rows whose doc_id is rejected. These ids are written, so that Spark knows how few they are: it
+    broadcasts them under its own threshold, else it shuffles the texts once."""
     key = free("rejected_id", docs.columns)
-    gone = rejected.select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone[key], "left_anti")
+    gone = written(rejected.select(F.col("doc_id").alias(key)).distinct(), "rejected")
+    return keeping(docs.join(gone, docs["doc_id"].cast("long") == gone[key], "left_anti"), gone)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose score reaches the threshold of their language. The texts are scored once: the scored
-    documents are a written stage."""
+    """Rejects documents whose score reaches the threshold of their language. The texts are scored twice, for the
+    thresholds and for the result: so they are neither written in between nor shuffled, and what is written is one row
+    a language."""
     labels, score, flag = toxicity.learnable(spark, sf_dir), free("score", docs.columns), free("flagged", docs.columns)
     net = toxicity.train(docs.select("doc_id", "text"), labels)
-    scored = written(toxicity.score(docs, net, carry=tuple(docs.columns)), "scored")
-    bounds = toxicity.thresholds(scored.select("doc_id", "lang", F.col(score).alias("score")), labels)
-    return toxicity.flagged(scored, bounds, score=score, name=flag).where(~F.col(flag)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    bounds = written(toxicity.thresholds(toxicity.score(docs, net, carry=("doc_id", "lang")), labels), "bounds")
+    out = toxicity.flagged(toxicity.score(docs, net, carry=tuple(docs.columns)), bounds, score=score, name=flag)
+    return keeping(out.where(~F.col(flag)).select(*[F.col(f"`{c}`") for c in docs.columns]), bounds)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,19 +41,23 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     out = lines.dedup(docs)
     emptied = (F.col(count) > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     chars = F.when(F.col(count) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return out.where(~emptied | F.col("text").isNull()).withColumn("n_chars", chars).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keeping(out.where(~emptied | F.col("text").isNull()).withColumn("n_chars", chars).select(*[F.col(f"`{c}`") for c in docs.columns]), out)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each group with five-word shingles at a similarity of 0.8."""
     found = neardup.near_duplicates(docs.select("doc_id", "text"), 5)
-    return without(docs, found.where(~F.col("kept")))
+    out = without(docs, found.where(~F.col("kept")))
+    discard(found)
+    return out
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in which a benchmark window occurs."""
     found = decontam.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return without(docs, found.where("contaminated"))
+    out = without(docs, found.where("contaminated"))
+    discard(found)  # the tokenized documents
+    return out
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,7 +82,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs, before = written(stage(spark, docs, sf_dir), name), docs
-        discard(before)
+        out = stage(spark, docs, sf_dir)
+        docs, before = written(out, name), docs
+        discard(out, before)
         release(spark)
     return docs

@@ -2,6 +2,7 @@
 
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tracksieve.llm import lines, packing, toxicity
-from tracksieve.llm.common import table, written
+from tracksieve.llm.common import shared_dir, table, written
 
 SF = "/root/testdata/sf0.001"
 
@@ -135,3 +136,61 @@ def test_packed_sequences_hold_their_tokens(spark):
     for (doc, _), a, b in zip(rows, bounds, bounds[1:]):
         assert [x for _, own in sorted(documents[doc].items()) for x in own] == [*ids[a:b].tolist(), 0]
     assert corpus_pipeline.pack_sequences(spark, spark.createDataFrame([], "doc_id long, text string"), SF).count() == 0
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_neither_shuffled_nor_written_where_few_rows_are_joined(spark, monkeypatch):
+    """Thresholds and rejected ids are written, so that Spark knows how few they are; 16k is less than any text table."""
+    docs, tables = table(spark, SF, "documents"), []
+    for module in (corpus_pipeline, toxicity):
+        monkeypatch.setattr(module, "written", lambda df, name: tables.append(df.columns) or written(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_near_duplicates, corpus_pipeline.drop_contaminated):
+            plan = planned(stage(spark, docs, SF))
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, stage
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(tables) == 3 and not any("text" in c for c in tables)
+
+
+def test_wanted_lines_are_read_without_a_shuffle_of_texts(spark, monkeypatch):
+    plans = {}
+    monkeypatch.setattr(lines, "written", lambda df, name: plans.update({name: planned(df)}) or written(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert lines.dropped(table(spark, SF, "documents"), edits=2).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for name in ("variants", "word_lists"):  # a join stands above what reads the texts, if anywhere
+        assert "Join" not in plans[name][plans[name].index("MapInArrow") :], name
+
+
+def test_a_filter_has_all_of_its_lines_and_a_full_one_changes_nothing(spark, monkeypatch):
+    rows = [(i * 7919 - 10**6, i % 5) for i in range(3000)]
+    seen = lines.marks(written(spark.createDataFrame(rows, "doc_id long, line int"), "wanted")).value
+    has = lambda doc, line: (seen[(at := lines._places(doc, line, len(seen) * 64)) >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).all(0)
+    doc, line = (np.array(c) for c in zip(*rows))
+    assert has(doc, line).all() and has(doc, line + 5).mean() < 0.02
+    assert not lines.marks(written(spark.createDataFrame([], "doc_id long, line int"), "wanted")).value.any()
+    text = " ".join(f"word{k}" for k in range(20))
+    texts = [text, text, text.replace("word3 ", ""), text.replace("word3 ", "").replace("word17 ", ""), "one two three four five six seven eight", None, "another line of nine words that is all alone"]
+    docs = spark.createDataFrame([*enumerate(texts * 20), (None, text)], "doc_id long, text string")
+    told = lambda: sorted(map(tuple, lines.dropped(docs, edits=2).collect()))
+    want = told()
+    monkeypatch.setattr(lines, "MOST_BITS", 64)
+    assert told() == want and len(want) == 6 * 20 - 3
+
+
+def test_run_deletes_what_its_stages_wrote(spark, monkeypatch):
+    top = Path(re.sub("^file:/*", "/", shared_dir(spark)))
+    before = set(top.iterdir()) if top.exists() else set()
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[3:])
+    assert corpus_pipeline.run(spark, SF).count()
+    left = {p.name.rsplit("-", 1)[0] for p in set(top.iterdir()) - before}
+    assert "best_fit_packing" in left and not left & {"tokens", "told", "rejected", "pieces", "benchmark_decontamination"}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.graph import star_components as components  # noqa: F401
-from ..plans.stages import discard, release, shared_dir, ship, written  # noqa: F401
+from ..plans.stages import discard, keeping, release, shared_dir, ship, written  # noqa: F401
 
 #: Rows and bytes of one Arrow batch between the JVM and a Python worker, where the session sets none.
 BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20

@@ -22,7 +22,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, release, table, written
+from .common import discard, keeping, release, table, written
 
 WINDOW = 10
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -129,7 +129,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     rows = texts.select("doc_id", *KEY, F.size("words").cast("long").alias("n_words"))
     out = rows.join(told, KEY, "left")
     items_ = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items_).cast("long").alias("n_items"), items_.alias("items"), F.col("n_hit").isNotNull().alias("contaminated"))
+    out = out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items_).cast("long").alias("n_items"), items_.alias("items"), F.col("n_hit").isNotNull().alias("contaminated"))
+    return keeping(out, texts, told)
 
 
 def op6_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,16 +27,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, discard, free, release, table, written
+from .common import arrow_map, discard, free, keeping, release, table, written
 from .textvec import SPACE_SEPARATORS, U64, batches_of, buffers, lut, mix, segment_hash, word_spans
 
 MIN_NEAR = 8  # words of lines whose near copies are looked for
 TWO_EDITS = 16  # words from which edits=2 allows two
 GRID = 4  # words by which ends of lines are told apart
 HOT = 32  # lines of one length and a shared third whose pairs are compared
+MARK_BITS, MOST_BITS = 16, 1 << 28  # of a filter of lines: for each line, and in all
 _STEP = U64(0xD1B54A32D192ED03)
 SEEDS = (U64(0x2545F4914F6CDD1D), U64(0x9FB21C651E98DF25))  # of the hash and of the one that checks it
 _BACK, _BAG = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
@@ -182,7 +184,7 @@ def occurrences(docs: DataFrame, min_near: int = MIN_NEAR, edits: int = 1) -> Da
 
 
 def wanted_lines(keys: DataFrame) -> DataFrame:
-    """(doc_id, lines): of lines (key, doc_id, line), those that may share a key with another.
+    """(doc_id, line): of lines (key, doc_id, line), those that may share a key with another.
 
     One shuffle by ranges of (key, place), so that a hot key is split over partitions; in each, a row is taken if its
     neighbour has its key. The neighbours of a partition's first and last row are elsewhere: those two are always
@@ -214,32 +216,54 @@ def wanted_lines(keys: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array([held[0][1]], pa.int64()), pa.array([held[0][2]], pa.int32())], ["doc_id", "line"])
 
     ranged = keys.where("key is not null and doc_id is not null").repartitionByRange("key", "doc_id", "line").sortWithinPartitions("key")
-    return arrow_map(ranged, run, "doc_id long, line int").groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+    return arrow_map(ranged, run, "doc_id long, line int").distinct()
 
 
-def _with_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts with wanted lines. Spark broadcasts a written `wanted` under its own threshold, else shuffles the texts once."""
-    return _documents(docs).join(wanted, "doc_id").select("doc_id", "text", "lines")
+def _places(doc: np.ndarray, line: np.ndarray, n: int) -> np.ndarray:
+    """4 x lines: which of n bits stand for each (doc_id, line)."""
+    one = mix(mix(doc.astype(np.int64).view(U64)) + line.astype(U64))
+    two = mix(one) | U64(1)
+    return np.stack([(one + two * U64(k)) % U64(n) for k in range(4)])
 
 
-def _chosen(batch, doc: np.ndarray, number: np.ndarray, long: np.ndarray) -> np.ndarray:
-    wants = [set(x) for x in batch.column(2).to_pylist()]
-    return np.array([k for k in np.flatnonzero(long).tolist() if int(number[k]) in wants[doc[k]]], np.int64)
+def marks(wanted: DataFrame) -> Broadcast:
+    """A Bloom filter of written (doc_id, line) rows, with which texts are read for their wanted lines where they are: no
+    text is shuffled. It has all of the lines and by chance others (0.3 %; more from MOST_BITS on, 32 MB), which only adds
+    lines to look at."""
+    n = 64 * max(1, min(MOST_BITS, MARK_BITS * wanted.count()) // 64)
+
+    def run(batches):
+        for batch in batches:
+            at = _places(batch.column(0).to_numpy(), batch.column(1).to_numpy(), n).reshape(-1)
+            yield pa.record_batch([pa.array((at >> U64(6)).view(np.int64)), pa.array((U64(1) << (at & U64(63))).view(np.int64))], ["word", "mask"])
+
+    got = arrow_map(wanted, run, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(n // 64, U64)
+    bits[got.column("word").to_numpy()] = got.column("mask").to_numpy().view(U64)
+    return wanted.sparkSession.sparkContext.broadcast(bits)
+
+
+def _chosen(batch, doc: np.ndarray, number: np.ndarray, long: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Numbers of the batch's long lines whose (doc_id, line) is in a filter."""
+    some = np.flatnonzero(long)
+    at = _places(batch.column(0).to_numpy()[doc[some]], number[some], len(bits) * 64)
+    return some[((bits[at >> U64(6)] >> (at & U64(63))) & U64(1)).all(0)]
 
 
 def _words_of(words: np.ndarray, bounds: np.ndarray, chosen: np.ndarray) -> list:
     return [words[bounds[k] : bounds[k + 1]].view(np.int64) for k in chosen]
 
 
-def neighbourhoods(docs: DataFrame, wanted: DataFrame, min_near: int = MIN_NEAR) -> DataFrame:
-    """(v, check, place, doc_id, line, words): all deletion variants of the wanted (doc_id, lines) and, at place -1,
+def neighbourhoods(docs: DataFrame, seen: Broadcast, min_near: int = MIN_NEAR) -> DataFrame:
+    """(v, check, place, doc_id, line, words): all deletion variants of the lines in a filter of marks() and, at place -1,
     themselves, there with their words."""
 
     def run(batches):
+        bits = seen.value
         for batch in batches_of(batches, 1 << 20):
             words, bounds, doc, number = _line_words(batch.column(1))
             size = np.diff(bounds)
-            chosen = _chosen(batch, doc, number, size >= min_near)
+            chosen = _chosen(batch, doc, number, size >= min_near, bits)
             for at in range(0, len(chosen), 2000):
                 part = chosen[at : at + 2000]
                 sums = Sums(words, bounds[:-1][part], size[part])
@@ -249,7 +273,7 @@ def neighbourhoods(docs: DataFrame, wanted: DataFrame, min_near: int = MIN_NEAR)
                 told = pa.array([None] * len(sums.line) + _words_of(words, bounds, part), pa.list_(pa.int64()))
                 yield pa.record_batch([*cols, batch.column(0).take(pa.array(doc[part][own])), pa.array(number[part][own].astype(np.int32)), told], ["v", "check", "place", "doc_id", "line", "words"])
 
-    return arrow_map(_with_lines(docs, wanted), run, "v long, check long, place int, doc_id long, line int, words array<long>")
+    return arrow_map(_documents(docs).where("doc_id is not null"), run, "v long, check long, place int, doc_id long, line int, words array<long>")
 
 
 def within(a: tuple, b: tuple, edits: int) -> np.ndarray:
@@ -303,7 +327,9 @@ def close_by_one(docs: DataFrame, distinct: DataFrame, min_near: int) -> DataFra
     """(first): the distinct lines of min_near words or more with an earlier such line within one edit."""
     keys = distinct.select(F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"), "first.doc_id", "first.line")
     wanted = written(wanted_lines(keys), "wanted")
-    near = written(neighbourhoods(docs, wanted, min_near), "variants")
+    seen = marks(wanted)
+    near = written(neighbourhoods(docs, seen, min_near), "variants")
+    seen.destroy()
     discard(wanted)
     release(docs.sparkSession)
     shared = written(near.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v"), "shared")
@@ -322,19 +348,20 @@ def close_by_one(docs: DataFrame, distinct: DataFrame, min_near: int) -> DataFra
     return out
 
 
-def _word_lists(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, line, words, keys): word hashes and keys of thirds of the wanted (doc_id, lines)."""
+def _word_lists(docs: DataFrame, seen: Broadcast) -> DataFrame:
+    """(doc_id, line, words, keys): word hashes and keys of thirds of the lines in a filter of marks()."""
 
     def run(batches):
+        bits = seen.value
         for batch in batches_of(batches, 1 << 20):
             words, bounds, doc, number = _line_words(batch.column(1))
             size = np.diff(bounds)
-            chosen = _chosen(batch, doc, number, size >= TWO_EDITS)
+            chosen = _chosen(batch, doc, number, size >= TWO_EDITS, bits)
             if len(chosen):
                 keys = _lists(third_keys(Sums(words, bounds[:-1][chosen], size[chosen])), np.ones(len(chosen), bool))
                 yield pa.record_batch([batch.column(0).take(pa.array(doc[chosen])), pa.array(number[chosen].astype(np.int32)), pa.array(_words_of(words, bounds, chosen), pa.list_(pa.int64())), keys], ["doc_id", "line", "words", "keys"])
 
-    return arrow_map(_with_lines(docs, wanted), run, "doc_id long, line int, words array<long>, keys array<long>")
+    return arrow_map(_documents(docs).where("doc_id is not null"), run, "doc_id long, line int, words array<long>, keys array<long>")
 
 
 def _two_deletions(lines: DataFrame) -> DataFrame:
@@ -440,7 +467,10 @@ def _close_in_hot(lines: DataFrame, centred: DataFrame) -> DataFrame:
 def close_by_two(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(first): the distinct lines of TWO_EDITS words or more with an earlier such line within two edits."""
     wanted = written(wanted_lines(distinct.select(F.explode("thirds").alias("key"), "first.doc_id", "first.line")), "wanted_two")
-    held = written(_word_lists(docs, wanted), "word_lists")
+    seen = marks(wanted)
+    # Without what the filter adds: copies of one line would crowd its thirds.
+    held = written(_word_lists(docs, seen).join(wanted, ["doc_id", "line"], "left_semi"), "word_lists")
+    seen.destroy()
     discard(wanted)
     release(docs.sparkSession)
     keyed = held.select(F.explode("keys").alias("key"), F.struct("doc_id", "line").alias("at"), F.size("words").alias("n"))
@@ -514,7 +544,8 @@ def dedup(docs: DataFrame, min_near: int = MIN_NEAR, edits: int = 2) -> DataFram
     out = docs.join(each, docs["doc_id"].cast("long") == each[key], "left")
     cut = F.arrow_udf(without_lines, "string")(F.when(F.col(lines).isNotNull(), F.col("text")), F.col(lines))
     kept = [F.when(F.col(lines).isNull(), F.col("text")).otherwise(cut).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return out.select(*kept, F.when(F.col(lines).isNull(), 0).otherwise(F.array_size(F.array_distinct(F.transform(lines, lambda x: x["line"])))).cast("int").alias(count))
+    out = out.select(*kept, F.when(F.col(lines).isNull(), 0).otherwise(F.array_size(F.array_distinct(F.transform(lines, lambda x: x["line"])))).cast("int").alias(count))
+    return keeping(out, each)
 
 
 def op7_deletion_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:

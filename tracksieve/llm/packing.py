@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, free, table, written
+from .common import arrow_map, free, keeping, table, written
 from .textvec import batches_of, buffers, compacted, joined_values
 
 CAPACITY = 2048
@@ -325,7 +325,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(sequence), pa.array(offset)], [*keep, "sequence_id", "offset"])
 
     out = arrow_map(ranked.select(*keep, "rank"), run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", sequence_id long, offset long")
-    return cut.join(out.drop("length"), row).drop(row) if wide else out
+    return keeping(cut.join(out.drop("length"), row).drop(row) if wide else out, cut)
 
 
 def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

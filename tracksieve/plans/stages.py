@@ -38,9 +38,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def keeping(df: DataFrame, *stages: DataFrame) -> DataFrame:
+    """df, which reads these stages: discard(df), once df is written itself, deletes them."""
+    df._reads = stages
+    return df
+
+
 def discard(*stages: DataFrame) -> None:
     """Deletes stages that written() made, once what was computed from them is written too."""
     for df in stages:
+        discard(*getattr(df, "_reads", ()))
         path = getattr(df, "_stage_path", None)
         if path:
             at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
